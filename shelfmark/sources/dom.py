@@ -1,0 +1,331 @@
+"""Page parts that need the element tree: labelled sections, review blocks, tag lists, grids.
+
+One Arrow-batched ``mapInPandas`` step per page table. The tree helper below covers what these
+few pages need; everything after the extraction (merging, deduplication, joins) is Spark.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Callable, Iterator
+from html.parser import HTMLParser
+from urllib.parse import urljoin
+
+import pandas as pd
+from pyspark.sql import DataFrame, types as T
+
+from .. import values
+
+_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
+         "track", "wbr"}
+
+
+class Element:
+    """A tag with its children; text is a child of type str."""
+
+    def __init__(self, tag: str, attrs: dict, parent: Element | None = None):
+        self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
+
+    def walk(self) -> Iterator[Element]:
+        stack = [c for c in reversed(self.children) if isinstance(c, Element)]
+        while stack:
+            node = stack.pop()
+            yield node
+            stack.extend(c for c in reversed(node.children) if isinstance(c, Element))
+
+    def strings(self) -> Iterator[str]:
+        stack: list = list(reversed(self.children))
+        while stack:
+            node = stack.pop()
+            if isinstance(node, str):
+                yield node
+            elif node.tag not in ("script", "style", "template"):
+                stack.extend(reversed(node.children))
+
+    def text(self) -> str | None:
+        """Words separated by single blanks; None when empty."""
+        return " ".join(" ".join(self.strings()).split()) or None
+
+    def tight_text(self) -> str:
+        """Stripped strings put together without separators."""
+        return "".join(s.strip() for s in self.strings())
+
+    def all(self, *tests: Callable[[Element], bool]) -> Iterator[Element]:
+        return (e for e in self.walk() if all(t(e) for t in tests))
+
+    def one(self, *tests: Callable[[Element], bool]) -> Element | None:
+        return next(self.all(*tests), None)
+
+
+class _Tree(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = self.at = Element("", {})
+
+    def handle_starttag(self, tag, attrs):
+        element = Element(tag, {k: v or "" for k, v in attrs}, self.at)
+        self.at.children.append(element)
+        if tag not in _VOID:
+            self.at = element
+
+    def handle_endtag(self, tag):
+        node = self.at
+        while node is not None and node.tag != tag:
+            node = node.parent
+        if node is not None and node.parent is not None:
+            self.at = node.parent
+
+    def handle_data(self, data):
+        self.at.children.append(data)
+
+
+def tree(html: str) -> Element:
+    builder = _Tree()
+    builder.feed(html or "")
+    builder.close()
+    return builder.root
+
+
+def tag(*names: str) -> Callable[[Element], bool]:
+    return lambda e: e.tag in names
+
+
+def cls(name: str) -> Callable[[Element], bool]:
+    return lambda e: name in e.attrs.get("class", "").split()
+
+
+def attr(name: str, value: str | None = None, part: str | None = None):
+    def test(e: Element) -> bool:
+        if name not in e.attrs:
+            return False
+        return (value is None or e.attrs[name] == value) and (
+            part is None or part in e.attrs[name])
+    return test
+
+
+def inside(*tests) -> Callable[[Element], bool]:
+    """True when some ancestor passes all tests."""
+    def test(e: Element) -> bool:
+        node = e.parent
+        while node is not None:
+            if all(t(node) for t in tests):
+                return True
+            node = node.parent
+        return False
+    return test
+
+
+def _text(e: Element | None) -> str | None:
+    return e.text() if e is not None else None
+
+
+# Extractors: HTML -> list of rows (dicts). Selectors are fixed by the pages themselves.
+
+def job_cards(html: str, host: str) -> list[dict]:
+    """Result blocks of a job search page; blocks without a titled link are skipped."""
+    rows = []
+    for block in tree(html).all(tag("div"), cls("job-item-search-result")):
+        link = block.one(tag("a"), attr("href"), inside(tag("h3"), cls("title")))
+        if link is None:
+            continue
+        company = block.one(tag("a"), cls("company"), attr("href"))
+        rows.append({
+            "title": link.text(),
+            "job_url": urljoin(host, link.attrs["href"]),
+            "company": _text(block.one(cls("company-name"), inside(tag("a"), cls("company")))),
+            "company_url": urljoin(host, company.attrs["href"]) if company else None,
+            "salary_list": _text(block.one(tag("label"), cls("title-salary"))),
+            "address_list": _text(block.one(cls("city-text"), inside(tag("label"),
+                                                                     cls("address")))),
+            "exp_list": _text(block.one(tag("span"), inside(tag("label"), cls("exp")))),
+        })
+    return rows
+
+
+def job_detail(html: str, host: str) -> list[dict]:
+    """Labelled sections, deadline, tags, description blocks and lists of a job page."""
+    root = tree(html)
+
+    def section(label: str) -> str | None:
+        for sec in root.all(cls("job-detail__info--section")):
+            title = _text(sec.one(cls("job-detail__info--section-content-title"))) or ""
+            if title.lower() == label.lower():
+                value = sec.one(cls("job-detail__info--section-content-value"))
+                return value.text() if value is not None else sec.text()
+        return None
+
+    deadline = None
+    for e in root.walk():
+        if cls("job-detail__info--deadline")(e) or cls(
+                "job-detail__information-detail--actions-label")(e):
+            found = e.text() or ""
+            if values.JOB_DEADLINE_WORDS in found:
+                day = re.search(r"\d{1,2}/\d{1,2}/\d{4}", found)
+                deadline = day.group(0) if day else found
+                break
+
+    tags = [t for t in (a.text() for a in root.all(tag("a"), cls("item"),
+                                                   inside(cls("job-tags")))) if t]
+    blocks, listed = {}, {values.JOB_ADDRESSES_HEADING: [], values.JOB_TIMES_HEADING: []}
+    for item in root.all(cls("job-description__item")):
+        content = item.one(cls("job-description__item--content"))
+        if content is not None and inside(cls("job-description"))(item):
+            blocks[_text(item.one(tag("h3"))) or ""] = content.text()  # a repeat replaces
+        for heading in item.all(tag("h3")):
+            for phrase, found in listed.items():
+                if phrase in (heading.text() or ""):
+                    found += [v for v in (e.text() for e in item.all(
+                        tag("div", "li"), inside(cls("job-description__item--content")))) if v]
+
+    company = root.one(tag("a"), cls("company"), attr("href")) or root.one(
+        tag("a"), attr("href", part="/cong-ty/"))
+    title = next((e for e in root.walk() if e.tag == "h1" or cls("job-detail__info--title")(e)),
+                 None)
+    return [{
+        "detail_title": _text(title),
+        "detail_salary": section(values.JOB_SALARY_LABEL),
+        "detail_location": section(values.JOB_LOCATION_LABEL),
+        "detail_experience": section(values.JOB_EXPERIENCE_LABEL),
+        "deadline": deadline,
+        "tags": "; ".join(tags) or None,
+        "desc_mota": blocks.get(values.JOB_DESCRIPTION_HEADING),
+        "desc_yeucau": blocks.get(values.JOB_REQUIREMENTS_HEADING),
+        "desc_quyenloi": blocks.get(values.JOB_BENEFITS_HEADING),
+        "working_addresses": "; ".join(listed[values.JOB_ADDRESSES_HEADING]) or None,
+        "working_times": "; ".join(listed[values.JOB_TIMES_HEADING]) or None,
+        "company_url_from_job": urljoin(host, company.attrs["href"]) if company else None,
+    }]
+
+
+def reviews(html: str, host: str) -> list[dict]:
+    """Review blocks: raw "name on date" parts, rating, item link and title.
+
+    Blocks with neither a name nor an item link give no row.
+    """
+    rows = []
+    for place, block in enumerate(tree(html).all(tag("li"), attr("data-region", "review"))):
+        source = block.one(cls("shop2-review-attribution"))
+        full = source.tight_text() if source is not None else ""
+        author = source.one(tag("a")) if source is not None else None
+        before, mark, after = full.partition(" on ")
+        name = author.tight_text() if author is not None else before.strip()
+        entered = block.one(tag("input"), attr("name", "rating"))
+        shown = block.one(cls("screen-reader-only"), inside(cls("stars-svg")))
+        link = block.one(tag("a"), attr("href", part="/listing/"),
+                         inside(attr("data-region", "listing")))
+        row = {
+            "place": place, "name": name or None,
+            "date_text": after.strip() if mark else None,
+            "rating_text": entered.attrs.get("value") if entered is not None else (
+                "".join(shown.strings()) if shown is not None else None),
+            "item_href": link.attrs["href"] if link is not None else None,
+            "item_name": (link.attrs.get("aria-label") or link.tight_text() or None)
+            if link is not None else None,
+        }
+        if row["name"] or row["item_href"]:
+            rows.append(row)
+    return rows
+
+
+def tag_texts(html: str, host: str) -> list[dict]:
+    """Tag list: the marked element of each copyable item, else its last div, else its text."""
+    root = tree(html)
+    found = []
+    for item in root.all(tag("li"), attr("x-data", part="copied"),
+                         inside(tag("ul"), attr("role", "list"))):
+        element = item.one(tag("div"), attr("class", part="ml-3"))
+        if element is None:
+            span = item.one(tag("span"))
+            divs = list(span.all(tag("div"))) if span is not None else []
+            element = divs[-1] if divs else None
+        if element is not None and element.tight_text():
+            found.append(element.tight_text())
+    if not found:
+        found = [t for t in (li.tight_text() for li in root.all(
+            tag("li"), attr("x-data", part="copied"))) if t and len(t) <= 50]
+    return [{"items": found}]
+
+
+def grid_cells(html: str, host: str) -> list[dict]:
+    """Cells of a data grid, with the zone (pinned / scrolled) and the row they belong to."""
+    rows = []
+    root = tree(html)
+    for zone, mark in (("pinned", "MuiDataGrid-pinnedColumns"),
+                       ("scrolled", "MuiDataGrid-virtualScrollerRenderZone")):
+        area = root.one(tag("div"), cls(mark))
+        for row in area.all(tag("div"), cls("MuiDataGrid-row")) if area is not None else ():
+            index = row.attrs.get("data-rowindex", "")
+            if index.isdigit():
+                rows += [{"zone": zone, "row_index": int(index), "field": c.attrs["data-field"],
+                          "value": c.text()} for c in row.all(attr("data-field"))]
+    return rows
+
+
+# Where a company page keeps its name, its facts and its description.
+_NAME_PLACES = [("h1", "company-name"), ("h1", "title")]
+_FACT_BOXES = [("div", "company-overview"), ("div", "company-detail"), ("div", "company-profile"),
+               ("section", "company-info"), ("div", "box-intro-company"),
+               ("div", "company-info-container")]
+_FACT_ROWS = ["row", "item", "info-item", "company-info-item", "dl", "d-flex"]
+_ABOUT_BOXES = [("div", "company-description"), ("div", "box-intro-company"),
+                ("div", "company-introduction"), ("div", "description"),
+                ("section", "company-description")]
+
+
+def company_head(html: str, host: str) -> list[dict]:
+    """Company name by descending priority of its place, and the description."""
+    root = tree(html)
+    spots = [root.one(tag(t), cls(c)) for t, c in _NAME_PLACES]
+    spots += [root.one(tag("h1"), inside(tag("div"), cls(c)))
+              for c in ("company-header", "company-info")]
+    names = [_text(e) for e in spots]
+    names += [m.attrs.get("content") for p in ("og:title", "og:site_name")
+              for m in root.all(tag("meta"), attr("property", p))]
+    names.append(_text(root.one(tag("title"))))
+    about = (_text(root.one(tag(t), cls(c))) for t, c in _ABOUT_BOXES)
+    return [{"company_name_full": next((n for n in names if n), None),
+             "company_description": next((a for a in about if a), None)}]
+
+
+def company_rows(html: str, host: str) -> list[dict]:
+    """Rows of the company fact box: the emphasised label if any, and the whole row text."""
+    root = tree(html)
+    box = next((e for e in (root.one(tag(t), cls(c)) for t, c in _FACT_BOXES)
+                if e is not None), root)
+    rows = box.all(lambda e: e.tag == "li" or any(cls(c)(e) for c in _FACT_ROWS))
+    return [{"place": n, "strong": _text(e.one(tag("strong", "b"))), "row_text": e.text()}
+            for n, e in enumerate(rows)]
+
+
+def _schema(text: str) -> str:
+    return ", ".join(f"{c} string" for c in text.split())
+
+
+SCHEMAS = {
+    job_cards: _schema("title job_url company company_url salary_list address_list exp_list"),
+    job_detail: _schema(
+        "detail_title detail_salary detail_location detail_experience deadline tags desc_mota "
+        "desc_yeucau desc_quyenloi working_addresses working_times company_url_from_job"),
+    reviews: "place bigint, name string, date_text string, rating_text string, "
+             "item_href string, item_name string",
+    company_head: _schema("company_name_full company_description"),
+    company_rows: "place bigint, strong string, row_text string",
+    tag_texts: "items array<string>",
+    grid_cells: "zone string, row_index bigint, field string, value string",
+}
+
+
+def extract(pages: DataFrame, extractor: Callable[[str, str], list[dict]], key: str = "page_id",
+            host: str = "", html: str = "html") -> DataFrame:
+    """Rows an extractor finds on every page, with the page key."""
+    names = T.StructType.fromDDL(SCHEMAS[extractor]).fieldNames()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [[page, *[row[n] for n in names]]
+                    for page, source in zip(batch[key], batch[html])
+                    for row in extractor(source, host)]
+            yield pd.DataFrame(rows, columns=[key, *names])
+
+    kind = dict(pages.dtypes)[key]
+    return pages.select(key, html).mapInPandas(run, f"{key} {kind}, {SCHEMAS[extractor]}")
