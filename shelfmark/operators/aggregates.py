@@ -20,8 +20,7 @@ def status_counts(df: DataFrame, status: str, elapsed: str,
         F.count_if(F.col(status) == "skipped").alias("skipped"),
         F.count_if(F.col(status).isin(*failed)).alias("failed"),
         F.count(F.lit(1)).alias("total"),
-        F.coalesce(F.round(F.avg(F.when(is_done, F.col(elapsed))), 4), F.lit(0.0)).alias(
-            "mean_elapsed"))
+        F.coalesce(F.avg(F.when(is_done, F.col(elapsed))), F.lit(0.0)).alias("mean_elapsed"))
 
 
 def done_rows(df: DataFrame, status: str) -> DataFrame:

@@ -35,12 +35,17 @@ def fresh(spark: SparkSession, label: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to reliable storage and read it back, lineage cut.
+    """Write ``df`` once to the scratch folder and read it back, lineage cut.
 
-    Needed where two readers must see the very same partition layout. Reliable checkpoints
-    survive the loss of executors.
+    Needed where two readers must see the very same rows, or where a dear step would be
+    repeated. Parquet lets each reader take only the columns it needs; a frame Parquet cannot
+    hold (untyped null columns) is checkpointed instead. Both survive the loss of executors.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(root(df.sparkSession))
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    if any(kind == "void" for _, kind in df.dtypes):
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(root(spark))
+        return df.checkpoint(eager=True)
+    path = fresh(spark, "settled")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -14,7 +14,7 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import DataFrame, types as T
 
-from .. import values
+from .. import scratch, values
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
          "track", "wbr"}
@@ -272,8 +272,12 @@ _ABOUT_BOXES = [("div", "company-description"), ("div", "box-intro-company"),
                 ("section", "company-description")]
 
 
-def company_head(html: str, host: str) -> list[dict]:
-    """Company name by descending priority of its place, and the description."""
+def company_rows(html: str, host: str) -> list[dict]:
+    """Rows of the company fact box: the emphasised label if any, and the whole row text.
+
+    Every row carries the company name (by descending priority of its place) and the
+    description; a page without fact rows gives one row with these two only.
+    """
     root = tree(html)
     spots = [root.one(tag(t), cls(c)) for t, c in _NAME_PLACES]
     spots += [root.one(tag("h1"), inside(tag("div"), cls(c)))
@@ -283,18 +287,14 @@ def company_head(html: str, host: str) -> list[dict]:
               for m in root.all(tag("meta"), attr("property", p))]
     names.append(_text(root.one(tag("title"))))
     about = (_text(root.one(tag(t), cls(c))) for t, c in _ABOUT_BOXES)
-    return [{"company_name_full": next((n for n in names if n), None),
-             "company_description": next((a for a in about if a), None)}]
-
-
-def company_rows(html: str, host: str) -> list[dict]:
-    """Rows of the company fact box: the emphasised label if any, and the whole row text."""
-    root = tree(html)
+    head = {"company_name_full": next((n for n in names if n), None),
+            "company_description": next((a for a in about if a), None)}
     box = next((e for e in (root.one(tag(t), cls(c)) for t, c in _FACT_BOXES)
                 if e is not None), root)
     rows = box.all(lambda e: e.tag == "li" or any(cls(c)(e) for c in _FACT_ROWS))
-    return [{"place": n, "strong": _text(e.one(tag("strong", "b"))), "row_text": e.text()}
-            for n, e in enumerate(rows)]
+    return [{**head, "place": n, "strong": _text(e.one(tag("strong", "b"))),
+             "row_text": e.text()} for n, e in enumerate(rows)] or [
+        {**head, "place": None, "strong": None, "row_text": None}]
 
 
 def _schema(text: str) -> str:
@@ -308,16 +308,28 @@ SCHEMAS = {
         "desc_yeucau desc_quyenloi working_addresses working_times company_url_from_job"),
     reviews: "place bigint, name string, date_text string, rating_text string, "
              "item_href string, item_name string",
-    company_head: _schema("company_name_full company_description"),
-    company_rows: "place bigint, strong string, row_text string",
+    company_rows: "company_name_full string, company_description string, place bigint, "
+                  "strong string, row_text string",
     tag_texts: "items array<string>",
     grid_cells: "zone string, row_index bigint, field string, value string",
 }
 
 
+def _spread(pages: DataFrame) -> DataFrame:
+    """Pages over all cores when they come in fewer files than there are cores.
+
+    A large page table has enough splits of its own and is not shuffled.
+    """
+    files, cores = len(pages.inputFiles()), pages.sparkSession.sparkContext.defaultParallelism
+    return pages.repartition(cores) if 0 < files < cores else pages
+
+
 def extract(pages: DataFrame, extractor: Callable[[str, str], list[dict]], key: str = "page_id",
             host: str = "", html: str = "html") -> DataFrame:
-    """Rows an extractor finds on every page, with the page key."""
+    """Rows an extractor finds on every page, with the page key.
+
+    The rows are settled: parsing is the dear part, and joins read their input more than once.
+    """
     names = T.StructType.fromDDL(SCHEMAS[extractor]).fieldNames()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -328,4 +340,5 @@ def extract(pages: DataFrame, extractor: Callable[[str, str], list[dict]], key:
             yield pd.DataFrame(rows, columns=[key, *names])
 
     kind = dict(pages.dtypes)[key]
-    return pages.select(key, html).mapInPandas(run, f"{key} {kind}, {SCHEMAS[extractor]}")
+    found = _spread(pages.select(key, html)).mapInPandas(run, f"{key} {kind}, {SCHEMAS[extractor]}")
+    return scratch.settle(found)

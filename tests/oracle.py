@@ -60,8 +60,7 @@ def compare(frame, connection, sql):
         return f"columns {sorted(frame.columns)} against {sorted(names)}", len(got)
     if got == want:
         return None, len(got)
-    extra = [r for r in got if r not in set(want)][:3]
-    missing = [r for r in want if r not in set(got)][:3]
+    extra, missing = list(set(got) - set(want))[:3], list(set(want) - set(got))[:3]
     return f"{len(got)} rows against {len(want)}; only Spark {extra}; only SQL {missing}", len(got)
 
 
