@@ -29,11 +29,11 @@ def squeeze(c: Column) -> Column:
 
 
 def nulls_for_blanks(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    """Null for empty text in every string column, or in those named."""
+    """Null for blank text in every string column, or in those named; other text is kept."""
     strings = {n for n, t in df.dtypes if t == "string"}
     chosen = strings if columns is None else strings & set(columns)
-    return df.select(*[filled(F.col(c)).alias(c) if c in chosen else F.col(c)
-                       for c in df.columns])
+    return df.select(*[F.when(strip(F.col(c)) != "", F.col(c)).alias(c) if c in chosen
+                       else F.col(c) for c in df.columns])
 
 
 def blanks_for_nulls(df: DataFrame) -> DataFrame:

@@ -138,7 +138,7 @@ def match_by_priority(df: DataFrame, by_id: DataFrame, by_title: DataFrame, id_c
                       title: str, card: str) -> DataFrame:
     """Card from the id map, else from the title map, else a new one is due."""
     one = lookup(df, by_id.select(id_column, F.col(card).alias("_by_id")), [id_column])
-    two = lookup(one, by_title.select(title, F.col(card).alias("_by_title")), [title])
+    two = lookup(one, by_title.select(title, F.col(card).alias("_by_title")), [title], df)
     return two.select(
         *df.columns, F.coalesce("_by_id", "_by_title").alias(card),
         F.when(F.col("_by_id").isNotNull(), "known_id")

@@ -29,11 +29,14 @@ def any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
 
 
-def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str],
+           counted_on: DataFrame | None = None) -> DataFrame:
     """Left join to a table that is unique on ``keys``; rows of ``left`` are kept as they are.
 
     Payload columns are the columns of ``right`` other than the keys. They must not clash with
-    columns of ``left``.
+    columns of ``left``. Hot keys are counted on ``left``, or on ``counted_on`` when that is an
+    earlier and cheaper form of it with the same keys, such as the table a chain of lookups
+    started from. The choice only affects balance, never the rows.
     """
     keys = list(keys)
     payload = [c for c in right.columns if c not in keys]
@@ -41,7 +44,7 @@ def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     if clash:
         raise ValueError(f"lookup columns already present: {sorted(clash)}")
 
-    hot = F.broadcast(hot_keys(left, keys))
+    hot = F.broadcast(hot_keys(left if counted_on is None else counted_on, keys))
     hot_rows = (
         hot.join(right.join(hot, keys, "left_semi"), keys, "left")
         .select(*keys, F.struct(F.lit(True).alias("_hot"), *payload).alias("_hot_row"))
@@ -61,12 +64,13 @@ def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def members(left: DataFrame, ids: DataFrame, keys: Sequence[str], keep: bool = True) -> DataFrame:
+def members(left: DataFrame, ids: DataFrame, keys: Sequence[str], keep: bool = True,
+            counted_on: DataFrame | None = None) -> DataFrame:
     """Semi join (``keep``) or anti join against a list of ids, balanced for hot ids.
 
     Null keys count as "not in the list".
     """
     listed = ids.filter(~any_null(keys)).select(*keys).distinct().withColumn("_listed", F.lit(True))
-    marked = lookup(left, listed, keys)
+    marked = lookup(left, listed, keys, counted_on)
     test = F.col("_listed").isNotNull() if keep else F.col("_listed").isNull()
     return marked.filter(test).drop("_listed")

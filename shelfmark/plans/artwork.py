@@ -51,12 +51,13 @@ def extraction_work(coords: DataFrame, images: DataFrame, outputs: DataFrame,
     fronts = outputs.filter(F.col("side") == "front").select("listing_id")
     backs = outputs.filter(F.col("side") == "back").select("listing_id")
     if back_only:
-        return members(rows.filter("has_back"), backs, ["listing_id"], keep=False)
+        return members(rows.filter("has_back"), backs, ["listing_id"], keep=False, counted_on=coords)
     if skip_done:
-        rows = members(rows, fronts, ["listing_id"], keep=False)
+        rows = members(rows, fronts, ["listing_id"], keep=False, counted_on=coords)
         if process_back:
             done = backs.filter(F.col("listing_id").isNotNull()).distinct()
-            rows = lookup(rows, done.withColumn("_back_done", F.lit(True)), ["listing_id"])
+            rows = lookup(rows, done.withColumn("_back_done", F.lit(True)), ["listing_id"],
+                          counted_on=coords)
             rows = rows.withColumn("back_skip_done", F.col("has_back") & F.col(
                 "_back_done").isNotNull()).drop("_back_done")
     return rows

@@ -32,7 +32,7 @@ def _matched(listings: DataFrame, cards: DataFrame, spellings: Sequence[Column])
         ["card_id", "old_desc", "attachment_count"])
     firsts = titled.groupBy("shop_name", "title").agg(
         F.min("seq").alias("_first_seq"), F.min_by("new_desc", "seq").alias("_first_desc"))
-    both = lookup(found, firsts, ["shop_name", "title"])
+    both = lookup(found, firsts, ["shop_name", "title"], titled)
     made = ~F.col("matched") & (F.col("seq") > F.col("_first_seq"))
     return both.withColumn("old_desc", F.when(made, F.col("_first_desc")).otherwise(
         F.col("old_desc"))).withColumn("attachment_count", F.when(made, 0).otherwise(
@@ -40,10 +40,13 @@ def _matched(listings: DataFrame, cards: DataFrame, spellings: Sequence[Column])
         "exists", F.col("matched") | made).drop("_first_seq", "_first_desc")
 
 
-def _numbered(plan: DataFrame, first_counter: int) -> DataFrame:
-    """Counter each row would use: it moves on after every create and reattach."""
-    shops = plan.groupBy("shop_name").agg(F.min("seq").alias("_shop_at"))
-    ordered = lookup(plan, shops, ["shop_name"]).withColumn(
+def _numbered(plan: DataFrame, listings: DataFrame, first_counter: int) -> DataFrame:
+    """Counter each row would use: it moves on after every create and reattach.
+
+    Shops are worked through in the order they first appear in.
+    """
+    shops = listings.groupBy("shop_name").agg(F.min("seq").alias("_shop_at"))
+    ordered = lookup(plan, shops, ["shop_name"], listings).withColumn(
         "_counts", F.col("action").isin("create", "reattach").cast("bigint"))
     run = running_sum(ordered, "_counts", [F.col("_shop_at"), F.col("seq")], name="_upto")
     return run.withColumn("counter", F.col("_upto") - F.col("_counts") + first_counter).drop(
@@ -63,7 +66,8 @@ def upload_plan(listings: DataFrame, cards: DataFrame, first_counter: int = 1) -
         enough, "skip").otherwise("reattach"))
     stale = ~(names.desc_ok(F.col("old_desc")) & (
         F.coalesce(F.col("old_desc"), F.lit("")) == F.col("new_desc")))
-    return _numbered(planned.withColumn("update_desc", F.col("exists") & stale), first_counter)
+    return _numbered(planned.withColumn("update_desc", F.col("exists") & stale),
+                     listings, first_counter)
 
 
 def upload_plan_any(listings: DataFrame, cards: DataFrame, first_counter: int = 1) -> DataFrame:
@@ -76,7 +80,7 @@ def upload_plan_any(listings: DataFrame, cards: DataFrame, first_counter: int =
     rows = _matched(wanted, cards, [names.leading_title(F.col("desc")), F.col("name")])
     planned = rows.withColumn("action", F.when(~F.col("exists"), "create").when(
         F.col("attachment_count") > 0, "skip").otherwise("reattach"))
-    return _numbered(planned, first_counter)
+    return _numbered(planned, listings, first_counter)
 
 
 def upload_plan_by_name(listings: DataFrame, card_names: DataFrame,

@@ -1 +1,134 @@
-"""To be filled."""
+"""Incremental runs over tables that arrive in slices.
+
+Each slice is added to a landing folder and followed by one run, as a nightly job would be. The
+result must equal the batch result over the whole table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from . import query, table
+from .. import scratch
+from ..streaming import incremental
+
+SLICES = 3
+
+
+def _in_slices(spark, rows, position, run):
+    """Land the table slice by slice in ``position`` order; run after every slice."""
+    folder = scratch.fresh(spark, "stream")
+    low, high = rows.agg(F.min(position), F.max(position)).first()
+    step = (high - low) // SLICES + 1
+    for number in range(SLICES):
+        start = low + number * step
+        rows.filter((F.col(position) >= start) & (F.col(position) < start + step)).write.mode(
+            "append").parquet(f"{folder}/in")
+        run(incremental.arriving(spark, f"{folder}/in", rows.schema), folder)
+    return folder
+
+
+@query("stream_resume", "SELECT event_id, user_id, event_type FROM events WHERE value > 10")
+def stream_resume(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+
+    def run(stream, folder):
+        incremental.append_new(stream.filter("value > 10").drop("value"), f"{folder}/out",
+                               f"{folder}/check")
+
+    folder = _in_slices(spark, events, "event_id", run)
+    return spark.read.schema("event_id bigint, user_id bigint, event_type string").parquet(
+        f"{folder}/out")
+
+
+@query("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
+def stream_dedup(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+
+    def run(stream, folder):
+        incremental.append_unseen(stream.drop("event_id"), ["user_id", "event_type"],
+                                  f"{folder}/out", f"{folder}/check")
+
+    folder = _in_slices(spark, events, "event_id", run)
+    return spark.read.schema("user_id bigint, event_type string").parquet(f"{folder}/out")
+
+
+@query("stream_dedup_bounded", "SELECT DISTINCT user_id, event_type FROM events")
+def stream_dedup_bounded(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+
+    def run(stream, folder):
+        timed = stream.drop("event_id").withColumn("ts", F.col("ts").cast("timestamp"))
+        incremental.append_unseen(timed, ["user_id", "event_type"], f"{folder}/out",
+                                  f"{folder}/check", "ts", "60 days")
+
+    folder = _in_slices(spark, events, "event_id", run)
+    return spark.read.schema("user_id bigint, event_type string").parquet(f"{folder}/out")
+
+
+@query("stream_upsert", """
+SELECT o_custkey, arg_max(o_orderkey, o_orderkey) AS o_orderkey,
+       arg_max(o_orderstatus, o_orderkey) AS o_orderstatus FROM orders GROUP BY o_custkey""")
+def stream_upsert(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
+
+    def run(stream, folder):
+        incremental.log_changes(stream, f"{folder}/log", f"{folder}/check")
+
+    folder = _in_slices(spark, orders, "o_orderkey", run)
+    return incremental.current_rows(spark, f"{folder}/log", "o_custkey",
+                                    [F.col("o_orderkey").desc()])
+
+
+@query("stream_upsert_compacted", """
+SELECT o_custkey, max(o_orderkey) AS o_orderkey FROM orders GROUP BY o_custkey""")
+def stream_upsert_compacted(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
+
+    def run(stream, folder):
+        incremental.log_changes(stream, f"{folder}/log", f"{folder}/check")
+
+    folder = _in_slices(spark, orders, "o_orderkey", run)
+    order = [F.col("o_orderkey").desc()]
+    incremental.compact(spark, f"{folder}/log", "o_custkey", order, f"{folder}/small")
+    return incremental.current_rows(spark, f"{folder}/small", "o_custkey", order)
+
+
+@query("stream_counter", """
+SELECT event_id, CAST(ts + INTERVAL 7 HOUR AS DATE) AS day,
+       row_number() OVER (PARTITION BY CAST(ts + INTERVAL 7 HOUR AS DATE) ORDER BY event_id) AS counter
+FROM events""")
+def stream_counter(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    day = F.to_date(F.col("ts") + F.make_dt_interval(hours=F.lit(7)))
+
+    def run(stream, folder):
+        incremental.counters(stream, f"{folder}/out", f"{folder}/check", day, [F.col("event_id")])
+
+    folder = _in_slices(spark, events, "event_id", run)
+    return spark.read.parquet(f"{folder}/out/rows").select("event_id", "day", "counter")
+
+
+@query("retry_undecided", """
+SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (
+  SELECT user_id FROM events WHERE event_type = 'purchase' AND event_id % 20 = 0)""")
+def retry_undecided(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    done = events.select("user_id", F.when((F.col("event_type") == "purchase") & (
+        F.col("event_id") % 20 == 0), True).alias("gone"))
+    return incremental.retry_undecided(events.select("user_id").distinct(), done, "user_id", "gone")
+
+
+@query("rounds_until_quiet", """
+SELECT user_id, event_type, min(event_id % 4) AS batch FROM events GROUP BY ALL""")
+def rounds_until_quiet(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id")
+    folder = scratch.fresh(spark, "rounds")
+
+    def rounds(number):
+        return events.filter(F.col("event_id") % 4 == number % 4)
+
+    incremental.until_quiet(spark, rounds, ["user_id", "event_type"], [F.col("event_id")], folder,
+                            max_rounds=12, max_quiet=2)
+    return spark.read.option("basePath", f"{folder}/rows").parquet(f"{folder}/rows").select(
+        "user_id", "event_type", "batch")

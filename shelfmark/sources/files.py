@@ -130,31 +130,31 @@ def read_csv_any_encoding(spark: SparkSession, path: str, columns: Sequence[str]
     return text.nulls_for_blanks(files.mapInPandas(rows, schema), wanted)
 
 
-def read_id_list(spark: SparkSession, path: str) -> DataFrame:
-    """Ids of JSON-array state files, one row each."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.explode(F.from_json("value", "array<string>")).alias("listing_id"))
+def read_id_list(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
+    """Ids of JSON arrays, one row each: an array per line, or one spread over a whole file."""
+    documents = spark.read.text(path, wholetext=whole_file)
+    return documents.select(F.explode(F.from_json("value", "array<string>")).alias("listing_id"))
 
 
 def read_id_map(spark: SparkSession, path: str, key: str = "listing_id",
-                value: str = "card_id") -> DataFrame:
-    """Entries of JSON-object state files, one row each."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.explode(F.from_json("value", "map<string,string>")).alias(key, value))
+                value: str = "card_id", whole_file: bool = False) -> DataFrame:
+    """Entries of JSON objects, one row each: an object per line or per file."""
+    documents = spark.read.text(path, wholetext=whole_file)
+    return documents.select(
+        F.explode(F.from_json("value", "map<string,string>")).alias(key, value))
 
 
-def _listing_of_files(spark: SparkSession, root: str) -> DataFrame:
-    # Only the path column is asked for, so file contents are not read.
+def file_paths(spark: SparkSession, root: str) -> DataFrame:
+    """Paths of all files below a folder; the contents are not read."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
             .select("path"))
 
 
-def scan_images(spark: SparkSession, root: str) -> DataFrame:
-    """Image files under root/shop/listing/ -> shop, listing, position, path.
+def images_of_paths(files: DataFrame) -> DataFrame:
+    """Image paths root/shop/listing/file -> shop, listing, position, path.
 
     Positions follow the number in the file name, then the path.
     """
-    files = _listing_of_files(spark, root)
     parts = F.split("path", "/")
     ending = F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1))
     rows = files.filter(ending.isin(*values.IMAGE_EXTENSIONS)).select(
@@ -164,13 +164,13 @@ def scan_images(spark: SparkSession, root: str) -> DataFrame:
                        "position").drop("_number")
 
 
-def scan_art(spark: SparkSession, root: str) -> DataFrame:
-    """Files ``{id}_art`` and ``{id}_art_back`` -> listing_id, front, back.
+def art_of_paths(files: DataFrame) -> DataFrame:
+    """Paths of ``{id}_art`` and ``{id}_art_back`` files -> listing_id, front, back.
 
     Listings without a front are dropped; of several files for one side the last in name order
     counts.
     """
-    files = _listing_of_files(spark, root).filter(
+    files = files.filter(
         F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1)).isin(*values.MIME_TYPES))
     stem = urls.stem(F.col("path"))
     back = urls.id_before(stem, "_art_back")
@@ -181,3 +181,11 @@ def scan_art(spark: SparkSession, root: str) -> DataFrame:
         F.max(F.when(F.col("_front").isNotNull(), F.col("path"))).alias("front"),
         F.max(F.when(F.col("_back").isNotNull(), F.col("path"))).alias("back"),
     ).filter(F.col("front").isNotNull())
+
+
+def scan_images(spark: SparkSession, root: str) -> DataFrame:
+    return images_of_paths(file_paths(spark, root))
+
+
+def scan_art(spark: SparkSession, root: str) -> DataFrame:
+    return art_of_paths(file_paths(spark, root))

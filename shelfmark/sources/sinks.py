@@ -29,9 +29,10 @@ def gather(df: DataFrame, images: str = "images", prefix: str = "image_") -> Dat
     return df.select(*[c for c in df.columns if c not in wide], listed.alias(images))
 
 
-def replace_table(df: DataFrame, table: str) -> None:
-    """Replace a catalogue table by these rows (schema and data)."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+def replace_table(df: DataFrame, table: str, path: str | None = None) -> None:
+    """Replace a catalogue table by these rows (schema and data), at ``path`` if given."""
+    writer = df.write.mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def append_table(df: DataFrame, table: str) -> None:

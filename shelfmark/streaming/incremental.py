@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from .. import values
 from ..operators import dedup
 from ..operators.enrich import unfinished
 from ..operators.ordered import number_rows
@@ -117,18 +118,19 @@ def counters(stream: DataFrame, out: str, checkpoint: str, day: Column,
 
 
 def until_quiet(spark: SparkSession, rounds: Callable[[int], DataFrame], keys: Sequence[str],
-                out: str, max_quiet: int, max_rounds: int) -> int:
+                order: Sequence[Column], out: str, max_rounds: int,
+                max_quiet: int = values.MAX_QUIET_ROUNDS) -> int:
     """Run rounds until ``max_quiet`` in a row bring no new key; the number of rounds run.
 
-    Every round appends its unseen rows and one line of metrics (total, new).
+    Every round writes its unseen rows, the first per key in ``order``, and one metrics row.
     """
     quiet = 0
     for number in range(max_rounds):
-        rows = rounds(number).dropDuplicates(list(keys))
+        rows = dedup.first_wins(rounds(number), list(keys), order)
         seen = _batches(spark, f"{out}/rows")
+        # One row per key on either side, so this anti join has no heavy key.
         fresh = rows if seen is None else rows.join(
-            seen.filter(F.col("batch") < number).select(*keys).distinct(), list(keys),
-            "left_anti")
+            seen.filter(F.col("batch") < number).select(*keys), list(keys), "left_anti")
         fresh.write.mode("overwrite").parquet(f"{out}/rows/batch={number}")
         added = spark.read.parquet(f"{out}/rows/batch={number}").count()
         spark.createDataFrame([(number, added)], "round bigint, added bigint").write.mode(
