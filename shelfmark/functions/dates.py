@@ -27,16 +27,19 @@ def day_text(c: Column) -> Column:
 _DATED = r"on\s+(\w+ \d{1,2},\s*\d{4})"
 
 
-def review_day(c: Column) -> Column:
-    """DATE inside ``NAME on Oct 9, 2025``; null when there is none or it is unreadable."""
-    found = F.regexp_extract(c, _DATED, 1)
-    return _month_day(F.regexp_replace(found, r",\s*", ", "))
+def review_date_part(c: Column) -> Column:
+    """The date text inside ``NAME on Oct 9, 2025``; null when there is none."""
+    return F.nullif(F.regexp_extract(c, _DATED, 1), F.lit(""))
 
 
-def review_day_text(c: Column) -> Column:
-    """ISO day of ``NAME on date``; the found text when unreadable; null when not found."""
-    found = F.regexp_extract(c, _DATED, 1)
-    return F.coalesce(F.date_format(review_day(c), "yyyy-MM-dd"), F.nullif(found, F.lit("")))
+def review_day(part: Column) -> Column:
+    """DATE of a found date text; null when it cannot be read."""
+    return _month_day(F.regexp_replace(part, r",\s*", ", "))
+
+
+def review_day_text(part: Column, day: Column) -> Column:
+    """ISO day of a found date text; the text itself when unreadable."""
+    return F.coalesce(F.date_format(day, "yyyy-MM-dd"), part)
 
 
 def deadline_text(c: Column) -> Column:

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import values
 from .ordered import running_sum
-from .skew import lookup
 
 
 def status_counts(df: DataFrame, status: str, elapsed: str,
@@ -85,9 +84,8 @@ def exact_median(df: DataFrame, key: str, value: str, least: int = 1) -> DataFra
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(
         F.count(F.lit(1)).alias("_n"))
-    sizes = counts.groupBy(key).agg(F.sum("_n").alias("n")).filter(F.col("n") >= least)
-    running = running_sum(counts, "_n", [F.col(value)], [key], "_upto")
-    sized = lookup(running, sizes, [key]).filter(F.col("n").isNotNull())
+    sized = running_sum(counts, "_n", [F.col(value)], [key], "_upto", total="n").filter(
+        F.col("n") >= least)
 
     def covers(position: Column) -> Column:
         return (F.col("_upto") >= position) & (F.col("_upto") - F.col("_n") < position)

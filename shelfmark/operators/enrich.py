@@ -25,8 +25,8 @@ def chosen(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 
 def not_found(ids: DataFrame, df: DataFrame, key: str) -> DataFrame:
-    """Ids asked for that no row has."""
-    return members(ids.select(key).distinct(), df, [key], keep=False)
+    """Ids asked for that no row has. Both sides are one row per id, so no id is heavy."""
+    return ids.select(key).distinct().join(df.select(key).distinct(), key, "left_anti")
 
 
 def fill_missing(df: DataFrame, source: DataFrame, key: str, column: str,
@@ -64,9 +64,9 @@ def fill_first_match(df: DataFrame, source: DataFrame, key: str, column: str, se
 def _update_first(df: DataFrame, source: DataFrame, key: str, column: str, seq: str,
                   only_when: Column) -> DataFrame:
     firsts = df.groupBy(key).agg(F.min(seq).alias(seq))
-    news = lookup(firsts, source.select(key, F.col(column).alias("_new")), [key])
+    news = firsts.join(source.select(key, F.col(column).alias("_new")), key)
     news = news.filter(F.col("_new").isNotNull())
-    # (id, seq) is unique on both sides, so this join has no heavy key.
+    # Neither join has a heavy key: one row per id above, one per (id, seq) here.
     joined = df.join(news, [key, seq], "left")
     hit = F.col("_new").isNotNull()
     return joined.select(
@@ -111,12 +111,13 @@ def title_lookup(names: DataFrame, catalogue: DataFrame, title: str, id_column:
                  url: Column, seq: str) -> DataFrame:
     """Catalogue id and URL by exact trimmed title; the last catalogue row of a title wins.
 
-    Unmatched names keep a null id, so matched and missing come from one pass.
+    ``names`` holds distinct titles. Unmatched ones keep a null id, so matched and missing come
+    from one pass.
     """
     entries = catalogue.select(F.trim(F.col(title)).alias(title), F.col(id_column),
                                url.alias("url"), F.col(seq).alias("_seq"))
     entries = dedup.last_wins(entries.filter(F.col(title) != ""), [title], "_seq").drop("_seq")
-    return lookup(names, entries, [title])
+    return names.join(entries, title, "left")
 
 
 def match_any(df: DataFrame, target: DataFrame, scope: Sequence[str], name: str,

@@ -30,11 +30,15 @@ def _ranges(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Data
 
 def _earlier(keys: Sequence[str], column: str) -> Column:
     """Sum of ``column`` over the earlier ranges of the same key: at most one row per range."""
-    window = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_part")
+    window = _ranges_of(keys).orderBy("_part")
     return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)),
                       F.lit(0))
 
 
+def _ranges_of(keys: Sequence[str]):
+    return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+
+
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join on (range, keys) where a null key equals a null key."""
     right = right.select(F.col("_part").alias("_r_part"),
@@ -65,16 +69,23 @@ def number_rows(df: DataFrame, order: Sequence[Column], keys: Sequence[str] = ()
 
 
 def running_sum(df: DataFrame, value: str, order: Sequence[Column], keys: Sequence[str] = (),
-                name: str = "running") -> DataFrame:
-    """Add the sum of ``value`` over this row and all earlier rows of the same key."""
+                name: str = "running", total: str | None = None) -> DataFrame:
+    """Add the sum of ``value`` over this row and all earlier rows of the same key.
+
+    With ``total`` the sum over all rows of the key is added under that name, too.
+    """
     keys = list(keys)
     placed = _ranges(df, keys, order)
     sums = placed.groupBy("_part", *keys).agg(F.sum(value).alias("_sum"))
-    starts = sums.withColumn("_before", _earlier(keys, "_sum")).drop("_sum")
+    starts = sums.withColumn("_before", _earlier(keys, "_sum"))
+    if total:
+        starts = starts.withColumn(total, F.sum("_sum").over(_ranges_of(keys)))
+    starts = starts.drop("_sum")
     if not keys:
         starts = F.broadcast(starts)
     inside = Window.partitionBy("_part", *keys).orderBy("_pos")
     summed = placed.withColumn("_inside", F.sum(value).over(
         inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     return _same(summed, starts, keys).select(
-        *df.columns, (F.coalesce(F.col("_inside"), F.lit(0)) + F.col("_before")).alias(name))
+        *df.columns, (F.coalesce(F.col("_inside"), F.lit(0)) + F.col("_before")).alias(name),
+        *([total] if total else []))

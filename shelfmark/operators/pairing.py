@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import dedup
 from .ordered import number_rows
-from .skew import lookup, members
+from .skew import lookup
 
 
 def pair(fronts: DataFrame, backs: DataFrame, key: str, name: str) -> DataFrame:
@@ -22,10 +22,11 @@ def pair(fronts: DataFrame, backs: DataFrame, key: str, name: str) -> DataFrame:
         F.col(name).alias("front"), "back", F.lit("name").alias("how"))
 
     alone = looked.filter(F.col("back").isNull()).select(F.col(name).alias("front"))
-    # A back is taken when a front has its key and it is the last back of that key.
-    taken = members(last_back, fronts.select(key), [key]).select(F.col("back").alias(name))
-    spare = members(backs.select(name), taken, [name], keep=False).select(
-        F.col(name).alias("back"))
+    # A back is taken when a front has its key and it is the last back of that key. Both joins
+    # are on columns that are unique on either side.
+    taken = last_back.join(fronts.select(key).distinct(), key, "left_semi").select(
+        F.col("back").alias(name))
+    spare = backs.select(name).join(taken, name, "left_anti").select(F.col(name).alias("back"))
     by_position = number_rows(alone, [F.col("front")], name="_n").join(
         number_rows(spare, [F.col("back")], name="_n"), "_n")
     return named.unionByName(

@@ -10,6 +10,7 @@ from .. import values
 from .ordered import number_rows
 
 _GROUPS = 64
+_LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int, by: Sequence[str] = ()) -> DataFrame:
@@ -17,7 +18,12 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int, by: Sequence[str] = ()
 
     Step one keeps the best k of each of 64 row groups, in parallel; step two ranks the at most
     64 k rows left. The row groups only split the work: the result does not depend on them.
+    Every task cuts its rows to k before the shuffle; Spark does so up to a limit set in the
+    session, which is raised here when k is larger.
     """
+    conf = df.sparkSession.conf
+    if int(conf.get(_LIMIT_SETTING, "1000")) < k:
+        conf.set(_LIMIT_SETTING, str(k))
     group = F.pmod(F.spark_partition_id(), F.lit(_GROUPS))
     near = Window.partitionBy(*by, "_group").orderBy(*order)
     survivors = (

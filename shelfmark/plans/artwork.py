@@ -109,7 +109,7 @@ def compose_plan(arts: DataFrame, mode: str, single_mockups: Sequence[str], sing
     if not skip_done:
         return rows.withColumn("status", F.lit("todo"))
     done = outputs.select("listing_id", "output").distinct().withColumn("_done", F.lit(True))
-    return lookup(rows, done, ["listing_id", "output"]).withColumn(
+    return rows.join(done, ["listing_id", "output"], "left").withColumn(
         "status", F.when(F.col("_done"), "skipped").otherwise("todo")).drop("_done")
 
 
@@ -143,7 +143,7 @@ def outputs_by_listing(files: DataFrame, source: DataFrame, shop: str) -> DataFr
     meta = source.groupBy("listing_id").agg(
         F.min("pos").alias("place"), F.max_by("title", "pos").alias("title"),
         F.max_by("tags", "pos").alias("tags"))
-    return lookup(grouped, meta, ["listing_id"]).select(
+    return grouped.join(meta, "listing_id", "left").select(
         F.lit(shop).alias("shop_name"), "listing_id", "title", "tags", "items",
         "place").orderBy(F.col("place").asc_nulls_last(), "listing_id")
 

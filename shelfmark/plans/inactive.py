@@ -11,10 +11,12 @@ from ..operators import dedup
 def latest_reviews(reviews: DataFrame, arrival: list[str], url: str = "url",
                    data: str = "data") -> DataFrame:
     """One row per item URL: its latest review, the review count, the listing id and the day."""
-    dated = reviews.withColumn("review_day", dates.review_day(F.col(data))).withColumn(
-        "review_date", dates.review_day_text(F.col(data)))
+    found = reviews.withColumn("_part", dates.review_date_part(F.col(data)))
+    dated = found.withColumn("review_day", dates.review_day(F.col("_part")))
     best = dedup.latest_with_count(dated, url, F.col("review_day"), arrival)
-    return best.withColumn("listing_id", urls.listing_id(F.col(url)))
+    # Only the surviving rows need the text forms.
+    return best.withColumn("listing_id", urls.listing_id(F.col(url))).withColumn(
+        "review_date", dates.review_day_text(F.col("_part"), F.col("review_day"))).drop("_part")
 
 
 def inactive(latest: DataFrame, day: Column, cutoff: str) -> DataFrame:
