@@ -54,7 +54,10 @@ def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str],
     is_hot = F.col("_hot_row").isNotNull()
     marked = marked.withColumn("_salt", F.when(is_hot | any_null(keys), spread).otherwise(F.lit(0)))
 
-    cold = right.select(*keys, F.lit(0).alias("_salt"),
+    # Always 0, but no literal: the optimizer would turn a literal into a filter on the left and
+    # shuffle by the keys alone, which puts a hot key into one task again.
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
+    cold = right.select(*keys, zero.alias("_salt"),
                         F.struct(F.lit(True).alias("_cold"), *payload).alias("_cold_row"))
     joined = marked.join(cold, keys + ["_salt"], "left")
     return joined.select(
