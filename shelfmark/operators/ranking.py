@@ -9,15 +9,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .. import values
 from .ordered import number_rows
 
-_GROUPS = 64
+_GROUPS = 256
 _LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int, by: Sequence[str] = ()) -> DataFrame:
     """The first ``k`` rows per ``by``, with their rank, in two steps.
 
-    Step one keeps the best k of each of 64 row groups, in parallel; step two ranks the at most
-    64 k rows left. The row groups only split the work: the result does not depend on them.
+    Step one keeps the best k of each of 256 row groups, in parallel; step two ranks the at most
+    256 k rows left. The row groups only split the work: the result does not depend on them.
     Every task cuts its rows to k before the shuffle; Spark does so up to a limit set in the
     session, which is raised here when k is larger.
     """

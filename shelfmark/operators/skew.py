@@ -2,9 +2,10 @@
 
 A key is *hot* when it holds more than ``1 / HOT_SHARE`` of the rows. By counting, no table has
 more than ``HOT_SHARE`` hot keys, so broadcasting one lookup row per hot key is bounded whatever
-the table size. Hot and null-key rows are then spread over ``SPREAD`` salts, so the shuffle for
-the remaining keys sees no heavy partition. Adaptive skew splitting cannot do this for us when
-the lookup side is itself an aggregate, because it only splits plain shuffle stages.
+the table size. Hot and null-key rows are then salted, so the shuffle for the remaining keys
+sees no heavy partition; nothing is replicated for the salts. Adaptive skew splitting cannot do
+this for us when the lookup side is itself an aggregate, because it only splits plain shuffle
+stages.
 """
 
 from __future__ import annotations
@@ -14,8 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-HOT_SHARE = 1000
-SPREAD = 256
+HOT_SHARE = 10_000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -29,6 +29,16 @@ def any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
 
 
+def _spread(df: DataFrame) -> Column:
+    """A salt that differs from row to row, and between copies of a row in different tasks.
+
+    It depends on what a task holds, not on the order it holds it in, so a task that is run
+    again gives its rows the same salts.
+    """
+    plain = [f.name for f in df.schema.fields if "map" not in f.dataType.simpleString()]
+    return F.xxhash64(F.spark_partition_id(), *plain)
+
+
 def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str],
            counted_on: DataFrame | None = None) -> DataFrame:
     """Left join to a table that is unique on ``keys``; rows of ``left`` are kept as they are.
@@ -50,13 +60,13 @@ def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str],
         .select(*keys, F.struct(F.lit(True).alias("_hot"), *payload).alias("_hot_row"))
     )
     marked = left.join(F.broadcast(hot_rows), keys, "left")
-    spread = (F.lit(1) + F.pmod(F.xxhash64(*left.columns), F.lit(SPREAD))).cast("int")
     is_hot = F.col("_hot_row").isNotNull()
-    marked = marked.withColumn("_salt", F.when(is_hot | any_null(keys), spread).otherwise(F.lit(0)))
+    marked = marked.withColumn("_salt", F.when(is_hot | any_null(keys), _spread(left)).otherwise(
+        F.lit(0).cast("bigint")))
 
     # Always 0, but no literal: the optimizer would turn a literal into a filter on the left and
     # shuffle by the keys alone, which puts a hot key into one task again.
-    zero = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1).cast("bigint"))
     cold = right.select(*keys, zero.alias("_salt"),
                         F.struct(F.lit(True).alias("_cold"), *payload).alias("_cold_row"))
     joined = marked.join(cold, keys + ["_salt"], "left")

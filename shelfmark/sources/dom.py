@@ -315,6 +315,9 @@ SCHEMAS = {
 }
 
 
+_ROWS_PER_BATCH = 5000
+
+
 def _spread(pages: DataFrame) -> DataFrame:
     """Pages over all cores when they come in fewer files than there are cores.
 
@@ -334,9 +337,12 @@ def extract(pages: DataFrame, extractor: Callable[[str, str], list[dict]], key:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [[page, *[row[n] for n in names]]
-                    for page, source in zip(batch[key], batch[html])
-                    for row in extractor(source, host)]
+            rows = []
+            for page, source in zip(batch[key], batch[html]):
+                rows += [[page, *[row[n] for n in names]] for row in extractor(source, host)]
+                if len(rows) >= _ROWS_PER_BATCH:
+                    yield pd.DataFrame(rows, columns=[key, *names])
+                    rows = []
             yield pd.DataFrame(rows, columns=[key, *names])
 
     kind = dict(pages.dtypes)[key]

@@ -7,18 +7,16 @@ partition order is never relied on.
 
 from __future__ import annotations
 
-import csv
-import io
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import values
 from ..functions import text, urls
 from ..operators import dedup
 from ..operators.ordered import number_rows
+from ..operators.skew import lookup
 
 
 def _with_arrival(df: DataFrame) -> DataFrame:
@@ -92,42 +90,45 @@ def merge_url_lines(lines: DataFrame) -> DataFrame:
         "listing_id", "position", "url")
 
 
+# Bytes 0x80 to 0x9f of Windows code page 1252, and the five bytes it leaves undefined.
+_CP1252_BYTES = "".join(chr(b) for b in range(0x80, 0xA0) if b not in (
+    0x81, 0x8D, 0x8F, 0x90, 0x9D))
+_CP1252_TEXT = bytes(map(ord, _CP1252_BYTES)).decode("cp1252")
+_CP1252_HOLES = "[\x81\x8d\x8f\x90\x9d]"
+
+
 def read_csv_any_encoding(spark: SparkSession, path: str, columns: Sequence[str],
-                          encodings: Sequence[str] = ("utf-8-sig", "cp1252", "latin-1"),
-                          delimiter: str = ",") -> DataFrame:
-    """CSV files whose encoding is unknown: the first encoding that decodes a file is used.
+                          multiline: bool = False, delimiter: str = ",") -> DataFrame:
+    """CSV files of unknown encoding: UTF-8 (with or without mark), else cp1252, else Latin-1.
 
-    For encodings Spark's own reader does not take. One task reads one file.
+    ``columns`` are in file order. Every byte is first read as one Latin-1 character, which
+    loses nothing and keeps files splittable; then the first encoding that fits all of a file
+    decodes its texts. A file that holds much of the data is looked up as a hot key.
     """
-    wanted = list(columns)
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for file, content in zip(batch["path"], batch["content"]):
-                decoded = None
-                for encoding in encodings:
-                    try:
-                        decoded = content.decode(encoding)
-                        break
-                    except UnicodeDecodeError:
-                        continue
-                if decoded is None:
-                    raise ValueError(f"no encoding of {list(encodings)} fits {file}")
-                reader = csv.DictReader(io.StringIO(decoded, newline=""), delimiter=delimiter)
-                chunk = []
-                for number, row in enumerate(reader):
-                    chunk.append([file.rsplit("/", 1)[-1], number, *[row.get(c) for c in wanted]])
-                    if len(chunk) == 10_000:
-                        yield pd.DataFrame(chunk, columns=["source_file", "row_no", *wanted])
-                        chunk = []
-                if chunk:
-                    yield pd.DataFrame(chunk, columns=["source_file", "row_no", *wanted])
-
-    schema = T.StructType([T.StructField("source_file", T.StringType()),
-                           T.StructField("row_no", T.LongType()),
-                           *[T.StructField(c, T.StringType()) for c in wanted]])
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return text.nulls_for_blanks(files.mapInPandas(rows, schema), wanted)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    raw = _with_arrival(
+        spark.read.schema(schema).option("header", True).option("multiLine", multiline)
+        .option("quote", '"').option("escape", '"').option("sep", delimiter)
+        .option("encoding", "iso-8859-1").csv(path)
+    ).withColumn("source_file", F.col("arrival.file"))
+
+    def as_bytes(name: str) -> Column:
+        return F.encode(F.coalesce(F.col(name), F.lit("")), "iso-8859-1")
+
+    def holds(test) -> Column:
+        return reduce(lambda a, b: a & b, [test(c) for c in columns])
+
+    fits = raw.groupBy("source_file").agg(
+        F.bool_and(holds(lambda c: F.is_valid_utf8(as_bytes(c).cast("string")))).alias("_utf8"),
+        F.bool_and(holds(lambda c: ~F.coalesce(F.col(c), F.lit("")).rlike(_CP1252_HOLES)))
+        .alias("_cp1252"))
+    told = lookup(raw, fits, ["source_file"])
+    decoded = told.select("source_file", "arrival", *[
+        F.when(F.col(c).isNull(), None)
+        .when(F.col("_utf8"), F.decode(as_bytes(c), "utf-8"))
+        .when(F.col("_cp1252"), F.translate(c, _CP1252_BYTES, _CP1252_TEXT))
+        .otherwise(F.col(c)).alias(c) for c in columns])
+    return text.nulls_for_blanks(decoded, columns)
 
 
 def read_id_list(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:

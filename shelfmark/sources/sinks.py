@@ -59,8 +59,7 @@ def image_files(df: DataFrame, shop: str, listing: str, position: Column, url: C
 def write_by_shop(df: DataFrame, path: str, shop: str) -> None:
     """Parquet below one folder per shop.
 
-    Rows are spread by shop and by a hash of the row, so that a shop holding a large share of
-    the rows is written by many tasks; every task writes a few shops only.
+    Rebalanced by shop: adaptive execution splits a shop that is too large for one task and
+    puts small shops together.
     """
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(32))
-    df.repartition(F.col(shop), spread).write.mode("overwrite").partitionBy(shop).parquet(path)
+    df.hint("rebalance", shop).write.mode("overwrite").partitionBy(shop).parquet(path)

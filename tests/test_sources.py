@@ -53,11 +53,18 @@ def test_drifted_csv_groups(spark, tmp_path):
         ("1", "x", None, "a.csv"), ("2", "y", "e", "b.csv")]
 
 
-@pytest.mark.parametrize("encoding", ["utf-8-sig", "cp1252"])
-def test_csv_of_unknown_encoding(spark, tmp_path, encoding):
-    write(f"{tmp_path}/x.csv", 'id;name\n1;"café €\n2"\n2;\n', encoding)
-    frame = files.read_csv_any_encoding(spark, f"{tmp_path}/x.csv", ["id", "name"], delimiter=";")
-    assert rows(frame, "row_no", "id", "name") == [(0, "1", "café €\n2"), (1, "2", None)]
+def test_csv_of_unknown_encoding(spark, tmp_path):
+    content = 'id;name\n1;"café €\n2"\n2;\n3;plain\n'
+    for encoding in ("utf-8-sig", "utf-8", "cp1252"):
+        write(f"{tmp_path}/{encoding}.csv", content, encoding)
+    with open(f"{tmp_path}/latin.csv", "wb") as handle:  # 0x81 has no meaning in cp1252
+        handle.write(b"id;name\n1;caf\xe9 \x80\x81\n")
+    frame = files.read_csv_any_encoding(spark, f"{tmp_path}/*.csv", ["id", "name"], multiline=True,
+                                        delimiter=";")
+    same = [("1", "café €\n2"), ("2", None), ("3", "plain")]
+    assert rows(frame, "source_file", "id", "name") == sorted(
+        [(f"{e}.csv", *r) for e in ("utf-8-sig", "utf-8", "cp1252") for r in same]
+        + [("latin.csv", "1", "café \x80\x81")], key=repr)
 
 
 def test_typed_csv(spark, tmp_path):
