@@ -78,6 +78,14 @@ def description(title: Column | None = None, tags: Column | None = None,
         F.when(c != "", F.concat(F.lit(f"{mark} "), c)) for mark, c in blocks if c is not None])
 
 
+def hidden_description(listing_id: Column, url: Column) -> Column:
+    """Description of a card for a listing that is gone."""
+    return F.concat_ws(
+        "\n\n", F.concat(F.lit(f"{values.ID_MARK} "), listing_id),
+        F.when(url != "", F.concat(F.lit(f"{values.URL_MARK} "), url)),
+        F.lit(f"{values.STATUS_MARK} {values.HIDDEN_STATUS}"))
+
+
 def card_key(listing_id: Column, title: Column) -> Column:
     """``id — first 60 characters of the title``; 80 characters of the title without an id."""
     return F.when(listing_id != "", F.concat(

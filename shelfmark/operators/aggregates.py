@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import values
 from .ordered import running_sum
+from .skew import lookup
 
 
 def status_counts(df: DataFrame, status: str, elapsed: str,
@@ -41,6 +42,25 @@ def count_per_group(groups: DataFrame, rows: DataFrame, key: str, name: str = "n
         name, F.coalesce(F.col(name), F.lit(0).cast("bigint")))
 
 
+def with_group_size(df: DataFrame, key: str, name: str = "n") -> DataFrame:
+    """Every row with the number of rows of its key; null for a null key.
+
+    Counted with a partial step and looked up again: a window over a hot key would bring all
+    its rows into one task.
+    """
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(name))
+    return lookup(df, counts, [key])
+
+
+def progress(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """One row: distinct ids in all, those done and those remaining."""
+    ids = todo.select(key).filter(F.col(key).isNotNull()).distinct()
+    finished = done.select(key).distinct().withColumn("_done", F.lit(True))
+    return ids.join(finished, key, "left").agg(
+        F.count(F.lit(1)).alias("total"), F.count("_done").alias("done"),
+        F.count_if(F.col("_done").isNull()).alias("remaining"))
+
+
 def groups_in_order(df: DataFrame, key: str, seq: str) -> DataFrame:
     """Distinct keys with the place they first appear at and their row count."""
     return df.groupBy(key).agg(F.min(seq).alias("first_at"), F.count(F.lit(1)).alias("n"))

@@ -92,6 +92,12 @@ def upload_plan_by_name(listings: DataFrame, card_names: DataFrame,
         "action", F.when(F.col("_known"), "skip").otherwise("create")).drop("_known")
 
 
+def hidden_cards(hidden: DataFrame, card_names: DataFrame) -> DataFrame:
+    """Cards for listings that are gone: name, description, create or skip."""
+    return upload_plan_by_name(hidden, card_names).withColumn(
+        "desc", names.hidden_description(F.col("listing_id"), F.col("etsy_url")))
+
+
 def name_audit(cards: DataFrame, tags_by_title: DataFrame | None = None) -> DataFrame:
     """What is wrong with each card's name and description, and what they should be.
 

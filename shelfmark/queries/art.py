@@ -225,3 +225,17 @@ def image_file_names(spark, sf_dir):
         F.concat(F.lit("https://i.example/"), key, F.lit(".PNG?x=1")).alias("link"))
     return image_files(rows, "shop_name", "listing_id", F.lit(1), F.col("link")).withColumn(
         "mime", urls.mime(F.col("file_name")))
+
+
+@query("arts_of_ids", """
+SELECT 'art/' || l_orderkey || '_' || l_suppkey || '_art.png' AS path,
+       CAST(l_orderkey AS VARCHAR) AS listing_id
+FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem)
+WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')""")
+def arts_of_ids(spark, sf_dir):
+    paths = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey").distinct().select(
+        F.concat(F.lit("art/"), F.col("l_orderkey").cast("string"), F.lit("_"),
+                 F.col("l_suppkey").cast("string"), F.lit("_art.png")).alias("path"))
+    ids = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(
+        F.col("o_orderkey").cast("string").alias("listing_id"))
+    return plans.arts_of_ids(paths, ids)

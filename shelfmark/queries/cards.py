@@ -177,3 +177,21 @@ def description_audit(spark, sf_dir):
         F.concat(F.col("p_type"), F.lit(" ; ")).alias("tags"), "p_partkey")
     return board.name_audit(_audit_cards(spark, sf_dir),
                             board.tags_by_title(rows, "p_partkey")).drop("name", "desc")
+
+
+@query("hidden_cards", """
+SELECT c_custkey, c_custkey || ' — ' || c_name AS name,
+       CASE WHEN c_custkey % 4 = 0 THEN 'skip' ELSE 'create' END AS action,
+       '**Listing ID:** ' || c_custkey || chr(10) || chr(10)
+         || CASE WHEN c_custkey % 3 > 0 THEN '**Etsy URL:** u' || c_custkey || chr(10) || chr(10)
+            ELSE '' END || '**Status:** Unavailable' AS descr FROM customer""")
+def hidden_cards(spark, sf_dir):
+    key = F.col("c_custkey")
+    hidden = table(spark, sf_dir, "customer").select(
+        "c_custkey", key.cast("string").alias("listing_id"), F.col("c_name").alias("title"),
+        F.when(key % 3 > 0, F.concat(F.lit("u"), key.cast("string"))).otherwise("")
+        .alias("etsy_url"))
+    known = hidden.filter(key % 4 == 0).select(
+        card_key(F.col("listing_id"), F.col("title")).alias("name"))
+    return board.hidden_cards(hidden, known).select("c_custkey", "name", "action",
+                                                    F.col("desc").alias("descr"))

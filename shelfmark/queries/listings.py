@@ -8,6 +8,7 @@ from . import query, table
 from ..functions import labels, metrics, text
 from ..operators import aggregates, ranking
 from ..operators.ordered import number_rows
+from ..plans import runs
 from ..sources import api_pages, checks
 from ..values import RANKINGS
 
@@ -298,3 +299,23 @@ def first_twenty_items(spark, sf_dir):
     order = [F.col(c) for c in ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")]
     found = aggregates.first_items(rows, "l_suppkey", "part", order)
     return found.select("l_suppkey", F.array_join("items", ",").alias("items"))
+
+
+@query("listings_from_pages", """
+SELECT CAST(listing_id AS VARCHAR) AS listing_id, product, shop_name, total_views FROM (
+  SELECT o_custkey AS listing_id, o_orderpriority AS product, o_orderstatus AS shop_name,
+         CAST(o_orderkey AS VARCHAR) AS total_views,
+         row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderkey) AS rn
+  FROM orders) WHERE rn = 1""")
+def listings_from_pages(spark, sf_dir):
+    def item(views):
+        return F.struct(
+            F.col("o_custkey").cast("string").alias("listing_id"),
+            F.col("o_orderpriority").alias("title"), views.cast("string").alias("views"),
+            F.struct(F.col("o_orderstatus").alias("shop_name")).alias("shop"))
+
+    key = F.col("o_orderkey")
+    pages = table(spark, sf_dir, "orders").select("o_orderkey", F.array(
+        item(key), item(key + 1)).alias("results"))
+    return runs.listings_from_pages(pages, [F.col("o_orderkey")]).select(
+        "listing_id", "product", "shop_name", "total_views")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from . import query, table
 from ..functions import dates, names, text, urls
 from ..operators import dedup
-from ..plans import inactive
+from ..plans import inactive, runs
 from ..sources import dom
 
 CUTOFF = "2001-03-01"
@@ -241,3 +241,28 @@ def nameless_reviews_dropped(spark, sf_dir):
         .alias("name"),
         F.when(key % 5 != 0, F.concat(F.lit("/listing/"), key.cast("string"))).alias("item_url"))
     return rows.filter(F.coalesce("name", "item_url").isNotNull())
+
+
+@query("inactive_to_board", f"""WITH {_EXPORT_SQL},
+h AS (SELECT listing_id, title, o_orderkey,
+             CASE WHEN CAST(listing_id AS BIGINT) % 3 = 0 THEN 2 ELSE 1 END AS n_images,
+             row_number() OVER (ORDER BY listing_id) AS seq
+      FROM latest WHERE rn = 1 AND day < DATE '{CUTOFF}' AND url IS NOT NULL),
+a AS (SELECT *, CASE WHEN o_orderkey % 4 > 1 THEN 'create' WHEN o_orderkey % 4 = 0
+                     THEN CASE WHEN n_images = 1 THEN 'skip' ELSE 'reattach' END
+                     ELSE 'reattach' END AS action FROM h)
+SELECT listing_id, title, n_images, action, 10 + sum(CASE WHEN action = 'skip' THEN 0 ELSE 1 END)
+  OVER (ORDER BY seq) - CASE WHEN action = 'skip' THEN 0 ELSE 1 END AS counter FROM a""")
+def inactive_to_board(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    images = table(spark, sf_dir, "customer").filter("c_custkey % 3 = 0").select(
+        F.col("c_custkey").cast("string").alias("listing_id"),
+        F.array(F.lit("a"), F.lit(""), F.lit("b")).alias("images"))
+    cards = orders.filter("o_orderkey % 4 < 2").select(
+        F.lit("Some Shop").alias("list_name"), F.col("o_orderkey").cast("string").alias("id"),
+        F.concat(F.lit("Item "), F.col("o_orderkey").cast("string")).alias("name"),
+        F.lit("").alias("desc"), F.when(F.col("o_orderkey") % 4 == 0, 1).otherwise(0)
+        .alias("attachment_count"), F.col("o_orderkey").alias("pos"))
+    plan = runs.inactive_to_board(_review_export(spark, sf_dir), ["o_orderkey"], CUTOFF,
+                                  "Some Shop", images, cards, 10)
+    return plan.select("listing_id", "title", "n_images", "action", "counter")

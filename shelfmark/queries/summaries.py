@@ -152,3 +152,21 @@ def min_resolution(spark, sf_dir):
         F.col("p_partkey").alias("listing_id"), F.array(image(1), image(2), image(3))
         .alias("images"))
     return artwork_plans.large_images(images)
+
+
+@query("count_beside_rows", """
+SELECT event_id, CASE WHEN user_id % 7 > 0 THEN user_id END AS user_key,
+       CASE WHEN user_id % 7 > 0 THEN count(*) OVER (PARTITION BY user_id) END AS n FROM events""")
+def count_beside_rows(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select("event_id", F.when(
+        F.col("user_id") % 7 > 0, F.col("user_id")).alias("user_key"))
+    return aggregates.with_group_size(rows, "user_key")
+
+
+@query("run_progress", """
+SELECT count(*) AS total, count(o) AS done, count(*) - count(o) AS remaining FROM customer
+LEFT JOIN (SELECT DISTINCT o_custkey AS o FROM orders WHERE o_orderstatus = 'F') ON o = c_custkey""")
+def run_progress(spark, sf_dir):
+    done = table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'").select(
+        F.col("o_custkey").alias("c_custkey"))
+    return aggregates.progress(table(spark, sf_dir, "customer"), done, "c_custkey")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import values
 from ..functions import text
@@ -12,6 +12,11 @@ from ..functions import text
 _TAG = r"<[^>]*>"
 
 
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """A stored page table: page_id, url, html."""
+    return spark.read.parquet(path).select("page_id", "url", "html")
+
+
 def inner_text(fragment: Column) -> Column:
     """Text of an HTML fragment: tags out, the common entities resolved, blanks squeezed."""
     bare = F.regexp_replace(fragment, _TAG, " ")
@@ -90,6 +95,13 @@ def is_rate_limited(source: Column, phrases: Sequence[str] = values.RATE_LIMIT_P
     return text.contains_any(source, phrases)
 
 
+def is_rate_limit_page(html: Column) -> Column:
+    """Narrower rule, title first, so that page content does not set it off."""
+    title = F.coalesce(F.lower(element_text(html, "title")), F.lit(""))
+    return text.contains_any(title, values.RATE_LIMIT_TITLES) | text.contains_any(
+        html, values.RATE_LIMIT_MARKS)
+
+
 def site_name(html: Column, suffix: str) -> Column:
     """Company name: heading, else page-title metadata, else title; site suffix cut."""
     meta = F.regexp_extract(

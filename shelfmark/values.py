@@ -179,6 +179,12 @@ RATE_LIMIT_PHRASES = [
     "Slow Down",
 ]
 
+# The narrower signs of a rate-limit page, in the title and in the source.
+RATE_LIMIT_TITLES = ["429", "too many requests"]
+RATE_LIMIT_MARKS = [
+    "429 Too Many Requests", "HTTP 429", "<title>429", "too many requests</",
+]
+
 # Words in a mock-up file name that tell the garment tone, light tried first.
 LIGHT_WORDS = [
     "white", "cream", "ivory", "light", "pale", "sand", "beige", "natural", "off_white",
@@ -213,3 +219,6 @@ SKU_LETTER = "A"
 TITLE_MARK = "**Title:**"
 TAGS_MARK = "**Tags:**"
 URL_MARK = "**Etsy URL:**"
+ID_MARK = "**Listing ID:**"
+STATUS_MARK = "**Status:**"
+HIDDEN_STATUS = "Unavailable"
