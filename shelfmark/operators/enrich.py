@@ -120,18 +120,26 @@ def title_lookup(names: DataFrame, catalogue: DataFrame, title: str, id_column:
     return names.join(entries, title, "left")
 
 
-def match_any(df: DataFrame, target: DataFrame, scope: Sequence[str], name: str,
-              spellings: Sequence[Column], position: str, payload: Sequence[str]) -> DataFrame:
-    """Match ``name`` against any of several spellings of the target; first target row wins.
+def first_by_spelling(target: DataFrame, scope: Sequence[str], name: str,
+                      spellings: Sequence[Column], position: str,
+                      payload: Sequence[str]) -> DataFrame:
+    """Lookup table (scope, name) -> payload of the first target row spelled that way.
 
-    An OR condition would force a nested loop. Listing the spellings as rows makes it one
-    equality join.
+    Matching a name against any of several spellings with an OR would force a nested loop.
+    Listing the spellings as rows makes it one equality join.
     """
     listed = target.select(
         *scope, position, *payload, F.explode(F.array_distinct(F.array(*spellings))).alias(name))
     listed = listed.filter(F.col(name) != "")
     first = dedup.first_wins(listed, [*scope, name], [F.col(position)]).drop(position)
-    return lookup(df, first.withColumn("matched", F.lit(True)), [*scope, name]).withColumn(
+    return first.withColumn("matched", F.lit(True))
+
+
+def match_any(df: DataFrame, target: DataFrame, scope: Sequence[str], name: str,
+              spellings: Sequence[Column], position: str, payload: Sequence[str]) -> DataFrame:
+    """Match ``name`` against any of several spellings of the target; first target row wins."""
+    first = first_by_spelling(target, scope, name, spellings, position, payload)
+    return lookup(df, first, [*scope, name]).withColumn(
         "matched", F.coalesce(F.col("matched"), F.lit(False)))
 
 

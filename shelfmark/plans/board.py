@@ -26,13 +26,16 @@ def _matched(listings: DataFrame, cards: DataFrame, spellings: Sequence[Column])
         F.col("list_name").alias("shop_name"), "pos", F.col("id").alias("card_id"),
         F.col("desc").alias("old_desc"), "attachment_count", *[
             s.alias(f"_spelling_{i}") for i, s in enumerate(spellings)])
-    found = enrich.match_any(
-        titled, target, ["shop_name"], "title",
-        [F.col(f"_spelling_{i}") for i in range(len(spellings))], "pos",
-        ["card_id", "old_desc", "attachment_count"])
-    firsts = titled.groupBy("shop_name", "title").agg(
+    keys = ["shop_name", "title"]
+    on_board = enrich.first_by_spelling(
+        target, ["shop_name"], "title", [F.col(f"_spelling_{i}") for i in range(len(spellings))],
+        "pos", ["card_id", "old_desc", "attachment_count"])
+    # One row per shop and title on either side, so this join has no heavy key, and the listings
+    # need a single lookup.
+    firsts = titled.groupBy(*keys).agg(
         F.min("seq").alias("_first_seq"), F.min_by("new_desc", "seq").alias("_first_desc"))
-    both = lookup(found, firsts, ["shop_name", "title"], titled)
+    both = lookup(titled, firsts.join(on_board, keys, "left"), keys)
+    both = both.withColumn("matched", F.coalesce(F.col("matched"), F.lit(False)))
     made = ~F.col("matched") & (F.col("seq") > F.col("_first_seq"))
     return both.withColumn("old_desc", F.when(made, F.col("_first_desc")).otherwise(
         F.col("old_desc"))).withColumn("attachment_count", F.when(made, 0).otherwise(

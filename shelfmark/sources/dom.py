@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
-from html.parser import HTMLParser
+from html import unescape
 from urllib.parse import urljoin
 
 import pandas as pd
@@ -18,13 +18,29 @@ from .. import scratch, values
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
          "track", "wbr"}
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
+_ATTRIBUTE = re.compile(r"""([^\s=/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 
 
 class Element:
     """A tag with its children; text is a child of type str."""
 
-    def __init__(self, tag: str, attrs: dict, parent: Element | None = None):
-        self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
+    __slots__ = ("tag", "parent", "children", "source", "_attrs")
+
+    def __init__(self, tag: str, source: str = "", parent: Element | None = None):
+        self.tag, self.parent, self.children = tag, parent, []
+        self.source, self._attrs = source, None
+
+    @property
+    def attrs(self) -> dict[str, str]:
+        if self._attrs is None:
+            self._attrs = {}
+            for name, value in _ATTRIBUTE.findall(self.source):
+                if value[:1] in ("'", '"'):
+                    value = value[1:-1]
+                self._attrs.setdefault(name.lower(), unescape(value))
+        return self._attrs
 
     def walk(self) -> Iterator[Element]:
         stack = [c for c in reversed(self.children) if isinstance(c, Element)]
@@ -57,33 +73,39 @@ class Element:
         return next(self.all(*tests), None)
 
 
-class _Tree(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = self.at = Element("", {})
-
-    def handle_starttag(self, tag, attrs):
-        element = Element(tag, {k: v or "" for k, v in attrs}, self.at)
-        self.at.children.append(element)
-        if tag not in _VOID:
-            self.at = element
-
-    def handle_endtag(self, tag):
-        node = self.at
-        while node is not None and node.tag != tag:
-            node = node.parent
-        if node is not None and node.parent is not None:
-            self.at = node.parent
-
-    def handle_data(self, data):
-        self.at.children.append(data)
-
-
-def tree(html: str) -> Element:
-    builder = _Tree()
-    builder.feed(html or "")
-    builder.close()
-    return builder.root
+def tree(html: str | None) -> Element:
+    """Root over the elements of a page. A stray end tag is ignored; an open one ends with its
+    parent. Scripts and styles hold plain text."""
+    root = at = Element("")
+    html = html or ""
+    position = 0
+    while True:
+        token = _TOKEN.search(html, position)
+        text = html[position:token.start() if token else len(html)]
+        if text:
+            at.children.append(unescape(text) if "&" in text else text)
+        if token is None:
+            return root
+        position = token.end()
+        closing, name, source = token.groups()
+        if not name:
+            continue
+        name = name.lower()
+        if closing:
+            node = at
+            while node is not None and node.tag != name:
+                node = node.parent
+            if node is not None:
+                at = node.parent
+            continue
+        element = Element(name, source, at)
+        at.children.append(element)
+        if name in ("script", "style"):
+            end = re.compile(rf"</{name}\s*>", re.I).search(html, position)
+            element.children.append(html[position:end.start() if end else len(html)])
+            position = end.end() if end else len(html)
+        elif name not in _VOID and not source.endswith("/"):
+            at = element
 
 
 def tag(*names: str) -> Callable[[Element], bool]:
@@ -91,12 +113,13 @@ def tag(*names: str) -> Callable[[Element], bool]:
 
 
 def cls(name: str) -> Callable[[Element], bool]:
-    return lambda e: name in e.attrs.get("class", "").split()
+    # The look at the source spares most elements the parsing of their attributes.
+    return lambda e: name in e.source and name in e.attrs.get("class", "").split()
 
 
 def attr(name: str, value: str | None = None, part: str | None = None):
     def test(e: Element) -> bool:
-        if name not in e.attrs:
+        if name not in e.source.lower() or name not in e.attrs:
             return False
         return (value is None or e.attrs[name] == value) and (
             part is None or part in e.attrs[name])
