@@ -73,8 +73,9 @@ w AS (
               THEN first_value(new_desc) OVER (PARTITION BY shop_name, title ORDER BY seq) END AS old
   FROM j),
 a AS (SELECT *, {action} AS action FROM w)
-SELECT listing_id, action, pos AS card, sum(CASE WHEN action <> 'skip' THEN 1 ELSE 0 END) OVER (
-         ORDER BY shop_at, seq) - CASE WHEN action <> 'skip' THEN 1 ELSE 0 END + 5 AS counter
+SELECT listing_id, action, pos AS card, CAST(sum(CASE WHEN action <> 'skip' THEN 1 ELSE 0 END) OVER (
+         ORDER BY shop_at, seq) - CASE WHEN action <> 'skip' THEN 1 ELSE 0 END + 5 AS BIGINT)
+         AS counter
        {extra} FROM a"""
 
 

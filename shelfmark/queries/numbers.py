@@ -105,8 +105,8 @@ def resume_point(spark, sf_dir):
 
 
 @query("running_totals", """
-SELECT o_orderkey, sum(o_custkey) OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey
-  ROWS UNBOUNDED PRECEDING) AS running FROM orders""")
+SELECT o_orderkey, CAST(sum(o_custkey) OVER (PARTITION BY o_orderpriority
+  ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running FROM orders""")
 def running_totals(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority",
                                                  "o_orderdate")

@@ -251,8 +251,8 @@ h AS (SELECT listing_id, title, o_orderkey,
 a AS (SELECT *, CASE WHEN o_orderkey % 4 > 1 THEN 'create' WHEN o_orderkey % 4 = 0
                      THEN CASE WHEN n_images = 1 THEN 'skip' ELSE 'reattach' END
                      ELSE 'reattach' END AS action FROM h)
-SELECT listing_id, title, n_images, action, 10 + sum(CASE WHEN action = 'skip' THEN 0 ELSE 1 END)
-  OVER (ORDER BY seq) - CASE WHEN action = 'skip' THEN 0 ELSE 1 END AS counter FROM a""")
+SELECT listing_id, title, n_images, action, CAST(10 + sum(CASE WHEN action = 'skip' THEN 0 ELSE 1 END)
+  OVER (ORDER BY seq) - CASE WHEN action = 'skip' THEN 0 ELSE 1 END AS BIGINT) AS counter FROM a""")
 def inactive_to_board(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     images = table(spark, sf_dir, "customer").filter("c_custkey % 3 = 0").select(

@@ -12,11 +12,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from .. import values
+from .. import scratch, values
 from ..functions import text, urls
 from ..operators import dedup
 from ..operators.ordered import number_rows
-from ..operators.skew import lookup
+from ..operators.skew import lookup, members
 
 
 def _with_arrival(df: DataFrame) -> DataFrame:
@@ -79,13 +79,13 @@ def merge_url_lines(lines: DataFrame) -> DataFrame:
     """
     items = lines.select("listing_id", F.col("arrival.file").alias("file"), "file_time",
                          "arrival", F.posexplode("urls").alias("place", "url"))
-    distinct = items.groupBy("listing_id", "file", "file_time", "url").agg(
-        F.min(F.struct("arrival", "place")).alias("at"))
+    distinct = scratch.settle(items.groupBy("listing_id", "file", "file_time", "url").agg(
+        F.min(F.struct("arrival", "place")).alias("at")))
     sizes = distinct.groupBy("listing_id", "file", "file_time").agg(
         F.count(F.lit(1)).alias("n"))
     best = dedup.first_wins(sizes, ["listing_id"], [
         F.col("n").desc(), F.col("file_time"), F.col("file")]).select("listing_id", "file")
-    kept = distinct.join(best, ["listing_id", "file"], "left_semi")
+    kept = members(distinct, best, ["listing_id", "file"])
     return number_rows(kept, [F.col("at")], ["listing_id"], "position").select(
         "listing_id", "position", "url")
 

@@ -104,7 +104,8 @@ def counters(stream: DataFrame, out: str, checkpoint: str, day: Column,
         if earlier is not None:
             used = earlier.filter(F.col("batch") < batch).groupBy("day").agg(
                 F.sum("n").alias("_used"))
-            numbered = numbered.join(used, "day", "left")
+            # One row per calendar day, so small enough to broadcast whatever the input.
+            numbered = numbered.join(F.broadcast(used), "day", "left")
         else:
             numbered = numbered.withColumn("_used", F.lit(None).cast("bigint"))
         result = numbered.withColumn(

@@ -202,6 +202,29 @@ def test_scratch_uses_the_named_folder(spark):
     assert settled.count() == 3
 
 
+class _Session:
+    """Just enough of a session to ask where its scratch folder is."""
+
+    def __init__(self, master, named=None):
+        self.sparkContext = self
+        self.master, self.named, self.applicationId = master, named, f"app-{id(self)}"
+        self.conf = self
+
+    def get(self, key, default=None):
+        return self.named or default
+
+    def getConf(self):
+        return self
+
+
+def test_scratch_folder_rules():
+    assert scratch.root(_Session("spark://h:1", "s3a://b/x/")) == "s3a://b/x"
+    with pytest.raises(RuntimeError):
+        scratch.root(_Session("spark://h:1"))
+    local = _Session("local[2]")
+    assert scratch.root(local) == scratch.root(local)
+
+
 REVIEWS = """<ul>
 <li data-region="review"><p class="shop2-review-attribution"><a>Ann</a> wrote</p>
  <input name="rating" value="5"><div data-region="listing">
