@@ -28,19 +28,22 @@ class Rows:
 
 
 def fit_logistic(rows: Rows, goal: np.ndarray, weight: np.ndarray | None = None,
-                 penalty: float = 1.0, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Weights and bias of an L2-penalised logistic regression on soft labels, by accelerated
-    gradient steps with one step size per feature."""
+                 penalty: float = 1.0, steps: int = 300,
+                 centre: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Weights and bias of a logistic regression on soft labels, penalised by the squared distance
+    of the weights from ``centre`` (zero), by accelerated gradient steps with one step size per
+    feature."""
     n = max(1, len(goal))
     weight = np.ones(len(goal)) if weight is None else weight
-    w, bias = np.zeros(rows.width), 0.0
+    centre = np.zeros(rows.width) if centre is None else centre
+    w, bias = centre.copy(), 0.0
     # The curvature of feature k is at most its weighted count times the row's feature number / 4.
     scale = rows.back(weight * (rows.sizes + 1)) / 4 + penalty
     bias_scale = max(1e-9, float(np.sum(weight * (rows.sizes + 1))) / 4)
     ahead_w, ahead_b, t = w, bias, 1.0
     for _ in range(steps if n else 0):
         error = weight * (sigmoid(rows.dot(ahead_w) + ahead_b) - goal)
-        new_w = ahead_w - (rows.back(error) + penalty * ahead_w) / scale
+        new_w = ahead_w - (rows.back(error) + penalty * (ahead_w - centre)) / scale
         new_b = ahead_b - float(error.sum()) / bias_scale
         t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
         ahead_w = new_w + (t - 1) / t_next * (new_w - w)

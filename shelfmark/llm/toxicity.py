@@ -5,8 +5,8 @@ that labelled rows show far more often in toxic texts. A voter fires or stays si
 generative label model estimates, by expectation maximisation over a bounded sample, how often each
 voter fires on toxic and on other texts, and which voters fire together more often than their class
 explains; such a group shares its evidence, so that ten spellings of one insult do not count as ten
-witnesses. Its posterior labels train a linear classifier on the voters and on further terms, which
-scores every whole text. A last scaling on the labelled rows makes 0.7 mean 0.7.
+witnesses. Its posterior labels train a linear classifier on the voters' terms, which scores every
+whole text. A last scaling on the labelled rows makes 0.7 mean 0.7.
 
 Only the text feeds a score. A term counts once per text, however long the text is.
 """
@@ -24,8 +24,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .linear import Rows, bounded_sample, fit_logistic, fit_scale, sigmoid
 
 SAMPLE = 20_000        # labelled rows that voters, label model and classifier are fitted on
-VOTERS = 600
-FEATURES = 4_000
+VOTERS = 1_000
+SURE = 24.0            # least likelihood ratio of a term and the label, twice the logarithm
+PRECISE = 30.0         # least ratio of a voter's rates on toxic and on other texts
+WITNESS = 0.995        # accuracy of a label as one more witness
+ALIKE = 0.9            # correlation within a class from which voters share their evidence
 _CACHED = 400_000
 
 #: Fixed lexicon of insults in four languages, with patterns below.
@@ -38,8 +41,14 @@ PATTERNS = (r"\byou(?:'re| are) (?:an? )?\w+ (?:idiot|moron|loser|clown)", r"\bs
 _WORD = re.compile(r"\w+")
 
 
-def _number(text: str) -> int:
-    return xxhash.xxh64_intdigest(text.encode()) >> 1
+# A term's number ends in its kind: 7 word, 6 to 3 beginning of so many letters, 2 and 1 beginning
+# that two or three different words of the text share, 0 pattern.
+def _number(text: str, kind: int) -> int:
+    return xxhash.xxh64_intdigest(text.encode()) >> 1 & ~7 | kind
+
+
+def _shared(beginning: int, kind: int) -> int:
+    return (beginning * 0x9E3779B97F4A7C15 & (1 << 63) - 1) & ~7 | kind
 
 
 class _Terms(dict):
@@ -52,30 +61,38 @@ class _Terms(dict):
     def __missing__(self, raw: str) -> tuple[int, ...]:
         found = []
         for word in _WORD.findall(raw):
-            found.append(_number("w" + word))
-            found += [_number("p" + word[:k]) for k in range(3, 7) if len(word) > k]
+            found.append(_number(word, 7))
+            found += [_number(word[:k], k) for k in range(3, 7) if len(word) > k]
         if self.chosen is not None:
-            found = [self.chosen[x] for x in found if x in self.chosen]
+            found = [x for x in found if x in self.chosen or (
+                3 <= x & 7 < 7 and (_shared(x, 2) in self.chosen or _shared(x, 1) in self.chosen))]
         if len(self) >= _CACHED:
             self.clear()
         terms = self[raw] = tuple(found)
         return terms
 
 
-_patterns = [(_number("r" + p), re.compile(p)) for p in PATTERNS]
+_patterns = [(_number(p, 0), re.compile(p)) for p in PATTERNS]
 
 
 def terms_of(text: str | None, terms: _Terms) -> set[int]:
     """Numbers of the terms of a whole text."""
     text = (text or "").lower()
     found: set[int] = set()
+    twice: set[int] = set()
     for own in map(terms.__getitem__, set(text.split())):
         if own:
+            more = found.intersection(own)
+            if more:
+                thrice = twice & more
+                twice |= more
+                found.update(_shared(x, 1) for x in thrice if 3 <= x & 7 < 7)
             found.update(own)
-    for number, pattern in _patterns:
-        at = number if terms.chosen is None else terms.chosen.get(number)
-        if at is not None and pattern.search(text):
-            found.add(at)
+    found.update(_shared(x, 2) for x in twice if 3 <= x & 7 < 7)
+    found.update(number for number, pattern in _patterns
+                 if (terms.chosen is None or number in terms.chosen) and pattern.search(text))
+    if terms.chosen is not None:
+        return {terms.chosen[x] for x in found if x in terms.chosen}
     return found
 
 
@@ -114,8 +131,8 @@ def _listed(sample: DataFrame, chosen: dict[int, int]) -> tuple[list[list[int]],
     return rows["at"].to_pylist(), rows["label"].to_numpy().astype(float)
 
 
-def label_model(votes: Rows, prior: np.ndarray, rounds: int = 12) -> np.ndarray:
-    """Posterior that each row is toxic.
+def label_model(votes: Rows, prior: np.ndarray, rounds: int = 12):
+    """Posterior that each row is toxic, and the evidence of each voter's firing.
 
     Start: ``prior``, the labels with room for error. Each round estimates the voters' firing rates
     per class from the posterior, groups voters whose joint firing within a class is far above what
@@ -134,14 +151,13 @@ def label_model(votes: Rows, prior: np.ndarray, rounds: int = 12) -> np.ndarray:
         joint = (fired * posterior[:, None].astype(np.float32)).T @ fired / max(1.0, posterior.sum())
         apart = np.sqrt(np.outer(toxic * (1 - toxic), toxic * (1 - toxic)))
         correlation = (joint - np.outer(toxic, toxic)) / apart
-        shared = 1 / np.maximum(1.0, (correlation > 0.3).sum(axis=1))
-        fire = shared * np.log(toxic / other)
-        silent = shared * np.log((1 - toxic) / (1 - other))
+        shared = 1 / np.maximum(1.0, (correlation > ALIKE).sum(axis=1))
+        fire = shared * np.log(toxic / other)  # a silent voter abstains
         base = np.clip(posterior.mean(), 1e-4, 1 - 1e-4)
-        evidence = votes.dot(fire - silent) + silent.sum() + np.log(base / (1 - base))
+        evidence = votes.dot(fire) + np.log(base / (1 - base))
         # The label stays one more witness, of fixed accuracy.
         posterior = sigmoid(evidence + np.log(prior / (1 - prior)))
-    return posterior
+    return posterior, fire
 
 
 class Model:
@@ -173,29 +189,44 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
     seen = sample.groupBy("toxic").count().collect()  # two rows
     toxic_rows = sum(r["count"] for r in seen if r["toxic"] == 1)
     other_rows = sum(r["count"] for r in seen if r["toxic"] == 0)
-    fixed = [_number("w" + w) for w in LEXICON.split()] + [number for number, _ in _patterns]
+    fixed = [_number(w, 7) for w in LEXICON.split()] + [number for number, _ in _patterns]
     if not toxic_rows or not other_rows:
         chosen = {number: k for k, number in enumerate(dict.fromkeys(fixed))}
         return Model(chosen, np.full(len(chosen), 6.0), -4.0, 1.0, 0.0)
     counts = _term_counts(sample)
-    ratio = F.log((F.col("toxic") + 0.5) / (toxic_rows + 1)) - F.log(
-        (F.col("other") + 0.5) / (other_rows + 1))
+    rows = toxic_rows + other_rows
     total = F.col("toxic") + F.col("other")
-    # Log odds less two standard errors: how far a term surely leans.
-    error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("other") + 0.5))
-    ranked = (counts.where(total >= 4).withColumn("lean", F.abs(ratio) - 2 * error)
-              .where("lean > 0").withColumn("sign", F.signum(ratio))
-              .orderBy(F.col("lean").desc(), "term").limit(FEATURES).collect())
-    voters = list(dict.fromkeys(
-        fixed + [r["term"] for r in ranked if r["sign"] > 0][:VOTERS]))
-    features = list(dict.fromkeys(voters + [r["term"] for r in ranked]))
-    chosen = {number: k for k, number in enumerate(features)}
+
+    def gain(seen, expected):  # a cell of the likelihood-ratio test of independence
+        return F.when(seen > 0, 2 * seen * F.log(seen / expected)).otherwise(0.0)
+    lean = sum(gain(seen, whole * total / rows) + gain(whole - seen, whole * (rows - total) / rows)
+               for seen, whole in ((F.col("toxic"), F.lit(float(toxic_rows))),
+                                   (F.col("other"), F.lit(float(other_rows)))))
+    ranked = (counts.where((total >= 4) & (total < rows)).withColumn("lean", lean)
+              .where(F.col("lean") > SURE)
+              .where((F.col("toxic") + 0.5) / (toxic_rows + 1)
+                     >= PRECISE * (F.col("other") + 0.5) / (other_rows + 1))
+              .orderBy(F.col("lean").desc(), "term").limit(VOTERS).collect())
+    voters = list(dict.fromkeys(fixed + [r["term"] for r in ranked]))
+    chosen = {number: k for k, number in enumerate(voters)}
     lists, label = _listed(sample, chosen)
-    votes = Rows([[k for k in x if k < len(voters)] for x in lists], len(voters))
-    posterior = label_model(votes, np.where(label > 0, 0.97, 0.03))
-    rows = Rows(lists, len(features))
-    weights, bias = fit_logistic(rows, posterior, penalty=0.3)
-    slope, shift = fit_scale(rows.dot(weights) + bias, label)
+    # Of voters that fire on the very same rows one is enough: the most special one.
+    firing: list[list[int]] = [[] for _ in voters]
+    for row, at in enumerate(lists):
+        for k in at:
+            firing[k].append(row)
+    first: dict[tuple[int, ...], int] = {}
+    for k in sorted(range(len(voters)), key=lambda k: (-(voters[k] & 7), k)):
+        first.setdefault(tuple(firing[k]) or (-1 - k,), k)
+    kept = sorted(first.values())
+    place = {k: at for at, k in enumerate(kept)}
+    chosen = {voters[k]: at for k, at in place.items()}
+    votes = Rows([[place[k] for k in x if k in place] for x in lists], len(kept))
+    posterior, evidence = label_model(votes, np.where(label > 0, WITNESS, 1 - WITNESS))
+    # Texts with one voter are rare in the sample; the evidence says where such weights belong.
+    weights, bias = fit_logistic(votes, posterior, penalty=0.2, steps=600,
+                                 centre=np.clip(evidence, -3, 9))
+    slope, shift = fit_scale(votes.dot(weights) + bias, label)
     return Model(chosen, weights, bias, slope, shift)
 
 
