@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 _NONE = 1 << 40  # above every rank
-_CACHED = 1_000_000  # memo entries per worker; the memo starts anew beyond that
+_CACHED = 250_000  # entries of a memo's younger half
 _LONGEST_CACHED = 64
 
 # A blank joined to further white space: there, cutting at blanks alone would change matches.
@@ -49,8 +49,8 @@ class Codec:
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.packed = {token: rank.to_bytes(4, "little") for token, rank in self.ranks.items()}
         self.split = regex.compile(pattern).findall
-        self.pieces: dict[str, bytes] = {}
-        self.words = _Words(self)
+        self.pieces = _Memo(self._piece)
+        self.words = _Memo(lambda word: self.encode_whole(" " + word))
 
     def merge(self, piece: bytes) -> list[int]:
         """Token ids of one match."""
@@ -102,20 +102,12 @@ class Codec:
 
     def _piece(self, piece: str) -> bytes:
         packed = self.packed.get(raw := piece.encode())
-        if packed is None:
-            packed = b"".join(rank.to_bytes(4, "little") for rank in self.merge(raw))
-        if len(piece) <= _LONGEST_CACHED:
-            if len(self.pieces) >= _CACHED:
-                self.pieces.clear()
-            self.pieces[piece] = packed
-        return packed
+        return packed or b"".join([rank.to_bytes(4, "little") for rank in self.merge(raw)])
 
     def encode_whole(self, text: str) -> bytes:
         """Packed ids, every match of the pattern in turn."""
-        known, out = self.pieces.get, []
-        for piece in self.split(text):
-            out.append(known(piece) or self._piece(piece))
-        return b"".join(out)
+        pieces = self.pieces
+        return b"".join([pieces[piece] for piece in self.split(text)])
 
     def encode(self, text: str | None) -> bytes:
         """Packed ids. A match never holds a blank except in front, so that text without runs of
@@ -135,20 +127,24 @@ class Codec:
         return b"".join([tokens[i] for i in np.frombuffer(packed, "<u4").tolist()])
 
 
-class _Words(dict):
-    """Packed ids of a blank and the word after it."""
+class _Memo(dict):
+    """Remembers a function of a short string. A full half becomes the older one, from which what
+    is still in use comes back; what was in the older half before is forgotten."""
 
-    def __init__(self, codec: Codec):
+    def __init__(self, function):
         super().__init__()
-        self.codec = codec
+        self.function, self.older = function, {}
 
-    def __missing__(self, word: str) -> bytes:
-        packed = self.codec.encode_whole(" " + word)
-        if len(word) <= _LONGEST_CACHED:
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.function(key)
+        if len(key) <= _LONGEST_CACHED:
             if len(self) >= _CACHED:
+                self.older = dict(self)
                 self.clear()
-            self[word] = packed
-        return packed
+            self[key] = value
+        return value
 
 
 _codecs: dict[tuple[int, str], Codec] = {}
@@ -163,6 +159,16 @@ def codec_of(ranks: bytes, pattern: str = PATTERN) -> Codec:
     return _codecs[key]
 
 
+def _packed_array(values: Iterator[bytes]) -> pa.Array:
+    """A binary array, gathered in one buffer."""
+    buffer, ends = bytearray(), [0]
+    for value in values:
+        buffer += value
+        ends.append(len(buffer))
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [
+        None, pa.py_buffer(np.array(ends, np.int32)), pa.py_buffer(buffer)])
+
+
 def encoder(spark: SparkSession, path: str, pattern: str = PATTERN):
     """A function from a text column to a binary column of packed ids."""
     ranks = spark.sparkContext.broadcast(read_ranks(path))
@@ -171,7 +177,7 @@ def encoder(spark: SparkSession, path: str, pattern: str = PATTERN):
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = codec_of(ranks.value, pattern)
         for batch in batches:
-            yield pa.array([codec.encode(x.as_py()) for x in batch], pa.binary())
+            yield _packed_array(codec.encode(x.as_py()) for x in batch)
     return encode
 
 
@@ -183,7 +189,7 @@ def decoder(spark: SparkSession, path: str):
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = codec_of(ranks.value)
         for batch in batches:
-            yield pa.array([codec.decode(x.as_py()) for x in batch], pa.binary())
+            yield _packed_array(codec.decode(x.as_py()) for x in batch)
     return decode
 
 
