@@ -22,7 +22,8 @@ map may say so wrongly, never the opposite, so a fuller map costs time, not resu
 Candidates: within a signature, everything is first compared with its least member only; linked
 sets become components. Then the members of different components of a signature are compared, so
 that no component is missed, while a large group of near copies costs as many comparisons as it has
-members. Sets are compared whole.
+members. Before that, the places of the shared shingles in the global order bound what a pair can
+share at most. Sets are compared whole.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
@@ -38,10 +40,12 @@ from ..scratch import settle
 from .components import components
 from .shingles import mixed, shingle_set
 
-KNOWN = 0.25
+KNOWN = 0.2
 SELDOM = 32
 _FREQUENT_MOST = 1 << 20
 _MAP_WORDS = 1 << 20  # of 64 bits
+_BLOCK = 512
+_TASK_BYTES = 16 << 20
 _LEAST = 4  # smaller sets link with equal ones only, from 80 percent on
 
 
@@ -98,7 +102,8 @@ def _frequent(counts: DataFrame, seldom: int) -> np.ndarray:
 # -- signatures ------------------------------------------------------------------------------------
 
 class _Index:
-    """Signatures of a set, given the classes."""
+    """Signatures of a set, given the classes, each with its shingle's place in the global order
+    (-1 for a pair)."""
 
     def __init__(self, frequent, repeated, percent: int, known: float):
         self.frequent, self.repeated, self.percent = frequent, repeated, percent
@@ -108,20 +113,22 @@ class _Index:
             bounds.append(bounds[-1] * 100 / percent)
         self.bounds = np.array(bounds)
 
-    def __call__(self, tokens: np.ndarray) -> np.ndarray:
+    def __call__(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(tokens)
         if n < _LEAST:
-            return tokens[:0]
+            return tokens[:0], np.empty(0, np.int32)
         allowed = n - -(-self.percent * n // 100) + 1  # tau + 1
         known = tokens[:np.searchsorted(tokens, self.below)]
         seldom = known[~self._is_frequent(known)]
         singles = seldom[:allowed]
-        kept = [singles[_in_bits(self.repeated, singles)]]
+        place = np.flatnonzero(_in_bits(self.repeated, singles))
+        kept = [singles[place]]
         if len(singles) < allowed:
             often = np.setdiff1d(tokens, seldom, assume_unique=True)  # in the order of numbers
             level = int(np.searchsorted(self.bounds, n, "right"))
             kept += [self._pairs(often, allowed - len(singles), at) for at in (level, level + 1)]
-        return np.unique(np.concatenate(kept))
+        sigs = np.concatenate(kept)
+        return sigs, np.pad(place, (0, len(sigs) - len(place)), constant_values=-1).astype(np.int32)
 
     def _is_frequent(self, tokens: np.ndarray) -> np.ndarray:
         if not len(self.frequent):
@@ -150,25 +157,29 @@ class _Index:
 
 
 def _prepared(docs: DataFrame, width: int, percent: int, known: float, frequent, repeated):
-    """doc_id, n, node (number of the set, null if empty), sigs."""
+    """doc_id, text_no (number of the text), n, node (number of the set, null if empty), sigs."""
     shipped = docs.sparkSession.sparkContext.broadcast((frequent, repeated))
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _Index(*shipped.value, percent, known)
         for batch in batches:
-            sizes, nodes, sigs = [], [], []
+            sizes, nodes, sigs, places = [], [], [], []
             for text in batch.column(1):
                 tokens = shingle_set(text.as_py(), width)
                 sizes.append(len(tokens))
                 nodes.append(_node(tokens))
-                sigs.append(index(tokens))
+                for out, found in zip((sigs, places), index(tokens), strict=True):
+                    out.append(found)
             ends = np.cumsum([0, *map(len, sigs)]).astype(np.int32)
-            flat = np.concatenate(sigs) if sigs else np.empty(0, np.uint64)
+            flat = np.concatenate([np.empty(0, np.uint64), *sigs])
+            place = np.concatenate([np.empty(0, np.int32), *places])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))],
-                ["doc_id", "n", "node", "sigs"])
-    return docs.mapInArrow(prepare, "doc_id long, n long, node long, sigs array<long>")
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64))),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(place))],
+                ["doc_id", "text_no", "n", "node", "sigs", "places"])
+    return docs.withColumn("text_no", F.xxhash64("text")).mapInArrow(
+        prepare, "doc_id long, text_no long, n long, node long, sigs array<long>, places array<int>")
 
 
 def _node(tokens: np.ndarray) -> int | None:
@@ -182,38 +193,54 @@ def _node(tokens: np.ndarray) -> int | None:
 
 def _verified(docs: DataFrame, owners: DataFrame, pairs: DataFrame, width: int,
               percent: int) -> DataFrame:
-    """The pairs (a, na, b, nb) whose whole sets link, as (u, v). ``owners``: node, owner (the
-    document whose text gives the set)."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(owners, "node")
-    wanted = docs.sparkSession.sparkContext.broadcast(
-        _bits(needed.select(F.xxhash64("owner").alias("h")), "h"))
+    """The pairs (a, na, b, nb, place) whose whole sets link, as (u, v).
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ``owners``: node, owner (the number of a text that gives the set). ``place`` is equal for pairs
+    that have many nodes in common, at most about two blocks of nodes, so that a set is sent once
+    per place and not once per pair. Places share tasks by their sets' size.
+    """
+    ends = F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("na").alias("n")),
+                             F.struct(F.col("b").alias("node"), F.col("nb").alias("n"))))
+    asked = settle(pairs.select("place", ends.alias("e")).select("place", "e.node", "e.n").distinct())
+    size = asked.agg(F.sum("n")).first()[0] or 0
+    task = F.pmod(F.xxhash64("place"), F.lit(max(1, -(-8 * size // _TASK_BYTES))))
+    needed = asked.select("node").distinct().join(owners, "node")
+    wanted = docs.sparkSession.sparkContext.broadcast(_bits(needed, "owner"))
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = np.flatnonzero(_in_bits(wanted.value, batch.column(2).to_numpy()))
-            found = [shingle_set(batch.column(1)[int(i)].as_py(), width) for i in keep]
-            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-            flat = np.concatenate(found) if found else np.empty(0, np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(keep)),
-                 pa.array([_node(t) for t in found], pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))],
-                ["owner", "node", "tokens"])
-    tokens = (docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h"))
-              .mapInArrow(sets, "owner long, node long, tokens array<long>")
-              .join(needed.withColumnRenamed("owner", "_owner"), "node")
-              .where(F.col("owner").eqNullSafe(F.col("_owner")))
-              .select("node", "tokens").dropDuplicates(["node"]))
-    shared = F.size(F.array_intersect("ta", "tb"))
-    return (pairs.join(tokens.toDF("a", "ta"), "a").join(tokens.toDF("b", "tb"), "b")
-            .where(shared * 100 >= (F.col("na") + F.col("nb") - shared) * percent)
-            .select(F.col("a").alias("u"), F.col("b").alias("v")))
+            yield batch.filter(pa.array(_in_bits(wanted.value, batch.column(0).to_numpy())))
+    texts = (docs.select(F.xxhash64("text").alias("owner"), "text")
+             .mapInArrow(chosen, "owner long, text string")
+             .groupBy("owner").agg(F.first("text").alias("text")))
+
+    def compare(held: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        of = {_node(t): t for t in (shingle_set(text, width) for text in held["text"])}
+        linked = []
+        for a, b in zip(asked["a"], asked["b"], strict=True):
+            x, y = of[a], of[b]
+            shared = len(np.intersect1d(x, y, assume_unique=True))
+            linked.append(100 * shared >= percent * (len(x) + len(y) - shared))
+        return asked.loc[np.array(linked, bool), ["a", "b"]].set_axis(["u", "v"], axis=1)
+
+    sent = asked.select(task.alias("task"), "node").distinct().join(
+        needed, "node").join(texts, "owner").select("task", "text")
+    return sent.groupBy("task").cogroup(
+        pairs.select(task.alias("task"), "a", "b").groupBy("task")).applyInPandas(
+        compare, "u long, v long")
 
 
 def _near_in_size(percent: int):
     return F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
 
 
+def _can_reach(percent: int):
+    """Whether a pair that shares k single signatures, the last one at places ia and ib, can still
+    share enough: beyond that place at most the rest of the smaller remainder is shared."""
+    most = F.col("k") + F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) - 1
+    return most * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
+
+
 def join_documents(docs: DataFrame, width: int = 4, percent: int = 85, known: float = KNOWN,
                    seldom: int = SELDOM) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text; the rest is
@@ -230,35 +257,49 @@ def join_documents(docs: DataFrame, width: int = 4, percent: int = 85, known: fl
     counts = settle(_counted(docs.select("text"), width, known))
     rows = settle(_prepared(docs, width, percent, known, _frequent(counts, seldom),
                             _bits(counts, "token")))
-    owners = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("owner"))
-    posted = rows.select("node", "n", F.explode("sigs").alias("sig"))
+    nodes = settle(rows.where("node is not null").groupBy("node").agg(
+        F.min("doc_id").alias("least_id"), F.min("text_no").alias("owner")))
+    owners = nodes.select("node", "owner")
+    posted = rows.select("node", "n", F.inline(F.arrays_zip("sigs", "places"))).toDF(
+        "node", "n", "sig", "place")
     heads = posted.groupBy("sig").agg(
         F.min(F.struct("node", "n")).alias("head"), F.max("node").alias("last")).where(
         "head.node < last")
     live = settle(posted.join(heads.select("sig", "head"), "sig")
-                  .select("sig", "node", "n", "head").distinct())
-    stars = settle(live.select(F.col("head.node").alias("a"), F.col("head.n").alias("na"),
+                  .select("sig", "place", "node", "n", "head").distinct())
+    stars = (live.select(F.col("head.node").alias("a"), F.col("head.n").alias("na"),
                                F.col("node").alias("b"), F.col("n").alias("nb"))
                    .where("a < b").where(_near_in_size(percent)).distinct())
+    # Of a head with very many partners, some per place.
+    crowds = stars.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).alias("blocks"))
+    stars = settle(stars.join(crowds, "a").withColumn("place", F.xxhash64(
+        "a", F.pmod(F.xxhash64("b"), "blocks"))).drop("blocks"))
     links = settle(_verified(docs, owners, stars, width, percent))
     known_parts = components(links)
-    placed = live.select("sig", "node", "n").join(known_parts, "node", "left").withColumn(
+    placed = live.select("sig", "place", "node", "n").join(known_parts, "node", "left").withColumn(
         "part", F.coalesce("component", "node"))
     mixed_sigs = placed.groupBy("sig").agg(
         F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("sig")
-    open_rows = settle(placed.join(mixed_sigs, "sig").select("sig", "node", "n", "part"))
-    left = open_rows.toDF("sig", "a", "na", "pa")
-    right = open_rows.toDF("sig", "b", "nb", "pb")
+    open_rows = settle(placed.join(mixed_sigs, "sig").select("sig", "place", "node", "n", "part"))
+    crowds = open_rows.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).alias("blocks"))
+    left = open_rows.toDF("sig", "ia", "a", "na", "pa").join(crowds, "sig")
+    right = open_rows.toDF("sig", "ib", "b", "nb", "pb")
     rest = settle(left.join(right, "sig").where("a < b and pa <> pb").where(_near_in_size(percent))
-                  .select("a", "na", "b", "nb").distinct()
+                  .groupBy("a", "na", "b", "nb").agg(
+                      F.count(F.lit(1)).alias("k"), F.max("ia").alias("ia"),
+                      F.max("ib").alias("ib"), F.min(F.least("ia", "ib")).alias("low"),
+                      F.min(F.struct("sig", "blocks")).alias("at"))
+                  .where((F.col("low") < 0) | _can_reach(percent)).select("a", "na", "b", "nb", F.xxhash64(
+                      "at.sig", F.pmod(F.xxhash64("a"), F.col("at.blocks")),
+                      F.pmod(F.xxhash64("b"), F.col("at.blocks"))).alias("place"))
                   .join(stars.select("a", "b"), ["a", "b"], "left_anti"))
     more = _verified(docs, owners, rest, width, percent)
     parts = components(links.unionByName(more))
-    named = (owners.join(parts, "node", "left")
+    named = (nodes.join(parts, "node", "left")
              .withColumn("component", F.coalesce("component", "node")))
-    smallest = named.groupBy("component").agg(F.min("owner").alias("component_id"))
+    smallest = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     of_node = named.join(smallest, "component").select("node", "component_id")
-    return rows.drop("sigs").join(of_node, "node", "left").select(
+    return rows.drop("sigs", "places", "text_no").join(of_node, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
         .alias("component_id"))
