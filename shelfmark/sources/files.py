@@ -20,8 +20,9 @@ from ..operators.skew import lookup, members
 
 
 def _with_arrival(df: DataFrame) -> DataFrame:
-    return df.select("*", F.struct(
-        F.col("_metadata.file_name").alias("file"),
+    """Add arrival, whose file is the whole path (names may repeat), and the name as a label."""
+    return df.select("*", F.col("_metadata.file_name").alias("source_file"), F.struct(
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row")).alias("arrival"))
 
@@ -37,8 +38,7 @@ def read_csv(spark: SparkSession, path: str | list[str], columns: Sequence[str],
     raw = (spark.read.schema(schema).option("header", header).option("multiLine", multiline)
            .option("quote", '"').option("escape", '"').option("sep", delimiter)
            .option("enforceSchema", not header).csv(path))
-    rows = _with_arrival(raw).withColumn("source_file", F.col("arrival.file"))
-    return text.nulls_for_blanks(rows, columns)
+    return text.nulls_for_blanks(_with_arrival(raw), columns)
 
 
 def read_csv_drifted(spark: SparkSession, groups: Sequence[tuple[str, Sequence[str]]],
@@ -110,7 +110,7 @@ def read_csv_any_encoding(spark: SparkSession, path: str, columns: Sequence[str]
         spark.read.schema(schema).option("header", True).option("multiLine", multiline)
         .option("quote", '"').option("escape", '"').option("sep", delimiter)
         .option("encoding", "iso-8859-1").csv(path)
-    ).withColumn("source_file", F.col("arrival.file"))
+    ).withColumn("_file", F.col("arrival.file"))
 
     def as_bytes(name: str) -> Column:
         return F.encode(F.coalesce(F.col(name), F.lit("")), "iso-8859-1")
@@ -118,11 +118,11 @@ def read_csv_any_encoding(spark: SparkSession, path: str, columns: Sequence[str]
     def holds(test) -> Column:
         return reduce(lambda a, b: a & b, [test(c) for c in columns])
 
-    fits = raw.groupBy("source_file").agg(
+    fits = raw.groupBy("_file").agg(
         F.bool_and(holds(lambda c: F.is_valid_utf8(as_bytes(c).cast("string")))).alias("_utf8"),
         F.bool_and(holds(lambda c: ~F.coalesce(F.col(c), F.lit("")).rlike(_CP1252_HOLES)))
         .alias("_cp1252"))
-    told = lookup(raw, fits, ["source_file"])
+    told = lookup(raw, fits, ["_file"])
     decoded = told.select("source_file", "arrival", *[
         F.when(F.col(c).isNull(), None)
         .when(F.col("_utf8"), F.decode(as_bytes(c), "utf-8"))

@@ -88,7 +88,7 @@ def is_gone_live(status: Column, final_url: Column, lowered: Column,
     return (F.when(status.isNull(), F.lit(None).cast("boolean"))
             .when(~final_url.contains(listing_mark), True)
             .when(status == 404, True)
-            .when(text.contains_any(lowered, values.GONE_PHRASES), True).otherwise(False))
+            .when(text.contains_any(lowered, values.LIVE_GONE_PHRASES), True).otherwise(False))
 
 
 def is_rate_limited(source: Column, phrases: Sequence[str] = values.RATE_LIMIT_PHRASES) -> Column:

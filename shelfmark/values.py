@@ -170,6 +170,10 @@ GONE_PHRASES = [
     "sorry, this item is unavailable", "this item is unavailable", "no longer available",
     "this listing has expired", "page not found", "this shop is on vacation",
 ]
+LIVE_GONE_PHRASES = [
+    "is unavailable", "no longer available", "this listing has expired", "page not found",
+    "this shop is on vacation", "sold out",
+]
 ROBOT_PHRASES = [
     "are you a robot", "captcha", "to discuss automated access", "press and hold",
     "verify you are a human",
