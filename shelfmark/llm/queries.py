@@ -61,20 +61,6 @@ def op5_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
-OP5_SQL = """
-WITH rows AS (
-  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size,
-         sum(strlen(coalesce(text, '')) + 1) OVER (ORDER BY doc_id) AS upto,
-         sum(strlen(coalesce(text, '')) + 1) OVER () AS total
-  FROM documents),
-cut AS (
-  SELECT doc_id, size,
-         least(((upto - size) * 2 + size) * 8 // (total * 2), 7)::INTEGER AS shard FROM rows)
-SELECT doc_id, size::BIGINT AS size, shard,
-       row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot FROM cut
-"""
-
-
 def op6_graph_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearvec.groups(_table(spark, sf_dir, "embeddings"), 0.9)
 
