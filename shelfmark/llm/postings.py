@@ -84,6 +84,11 @@ class Lists:
 
     def homes(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, list) for every list that a row is put into."""
+        parts = [self._homes(vectors[at:at + 2048]) for at in range(0, len(vectors), 2048)]
+        return (np.concatenate([r + 2048 * k for k, (r, _) in enumerate(parts)]),
+                np.concatenate([at for _, at in parts]))
+
+    def _homes(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ids, distances = self._distances(self.lifted(vectors), min(32, len(self.graph.vectors)))
         centroids = self.graph.vectors
         taken = np.zeros(ids.shape, bool)
@@ -160,7 +165,8 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
     most = max(256, min(sample, SAMPLE_BYTES // (8 * width)))
     fitted = bounded_sample(entries.select("vec", F.get("ids", F.lit(0)).alias("id")), most,
                             F.col("id")).select("vec").toArrow()
-    index = Lists(np.array(fitted["vec"].to_pylist(), dtype=np.float64), longest, lists, k)
+    points = fitted["vec"].combine_chunks().flatten().to_numpy().reshape(-1, width)
+    index = Lists(points, longest, lists, k)
     shipped = spark.sparkContext.broadcast(index)
 
     def placed(rows: DataFrame, name: str, kind: str, reading: bool) -> DataFrame:
