@@ -6,12 +6,17 @@ then the *frequent* class. At most tau = n - ceil(percent * n / 100) shingles of
 missing in a partner, so a prefix whose signatures need more than tau losses to vanish shares one:
 
 * a set with tau + 1 rare shingles is indexed by these alone, each a signature of its own;
-* any other set extends its prefix into the frequent class, which is dealt into G subclasses, and
-  is indexed by its rare shingles and by pairs of shingles of one subclass. A subclass with p
-  shingles needs p - 1 losses, so the prefix grows until the rare shingles and these sum to tau + 1.
-  G depends on the size class only, so partners agree on it; a set is indexed for its own class and
-  the next one, and partners' sizes are at most one class apart. Sets of fewer than four shingles
-  can only link with equal ones, which needs no index.
+* any other set extends its prefix over all the rest, which is dealt into G subclasses by shingle
+  number, and is indexed by its rare shingles and by one combination per subclass: all its shingles
+  there, about six. Linked sets without a common rare shingle differ in at most D of the others (see
+  ``_differ``), so one of more than D filled subclasses is the same in both. G depends on the size
+  class only, so partners agree on it; a set is indexed for its own class and the next one, and
+  partners' sizes are at most one class apart;
+* where chance leaves a set D filled subclasses or fewer, it is indexed by pairs as well: a subclass
+  of which a prefix holds p shingles needs p - 1 losses, so the prefix grows until the rare shingles
+  and these sum to tau + 1. Of two partners either one has enough subclasses, or both have pairs.
+
+Sets of fewer than four shingles can only link with equal ones, which needs no index.
 
 Any fixed classes give right results; counts only make them selective. All documents are counted,
 for shingles whose number lies in the lowest ``KNOWN`` part of the range: prefixes lie there, as the
@@ -46,6 +51,7 @@ _FREQUENT_MOST = 1 << 20
 _MAP_WORDS = 1 << 20  # of 64 bits
 _BLOCK = 512
 _TASK_BYTES = 16 << 20
+_COMBINED = 1 << 32  # keeps numbers of combinations apart from those of pairs
 _LEAST = 4  # smaller sets link with equal ones only, from 80 percent on
 
 
@@ -103,7 +109,7 @@ def _frequent(counts: DataFrame, seldom: int) -> np.ndarray:
 
 class _Index:
     """Signatures of a set, given the classes, each with its shingle's place in the global order
-    (-1 for a pair)."""
+    (-1 for a combination)."""
 
     def __init__(self, frequent, repeated, percent: int, known: float):
         self.frequent, self.repeated, self.percent = frequent, repeated, percent
@@ -126,7 +132,11 @@ class _Index:
         if len(singles) < allowed:
             often = np.setdiff1d(tokens, seldom, assume_unique=True)  # in the order of numbers
             level = int(np.searchsorted(self.bounds, n, "right"))
-            kept += [self._pairs(often, allowed - len(singles), at) for at in (level, level + 1)]
+            for at in (level, level + 1):
+                combined = self._combinations(often, at)
+                kept.append(combined)
+                if len(combined) <= self._differ(n, at) - len(singles):
+                    kept.append(self._pairs(often, allowed - len(singles), at))
         sigs = np.concatenate(kept)
         return sigs, np.pad(place, (0, len(sigs) - len(place)), constant_values=-1).astype(np.int32)
 
@@ -136,6 +146,26 @@ class _Index:
         at = np.minimum(np.searchsorted(self.frequent, tokens), len(self.frequent) - 1)
         return self.frequent[at] == tokens
 
+    def _differ(self, n: int, level: int) -> int:
+        """The most shingles by which a set of n can differ from one it links with, if that one is
+        below the level's size bound: (100 - percent) percent of the most their union can hold."""
+        union = min(n / self.percent, (n + self.bounds[level]) / (100 + self.percent))
+        return int((100 - self.percent) * union + 1e-9)
+
+    def _combinations(self, often: np.ndarray, level: int) -> np.ndarray:
+        """One number for all shingles of each filled subclass."""
+        if not len(often):
+            return often
+        groups = (100 - self.percent) * 2 * self.bounds[level] / (100 + self.percent)
+        groups = int(groups * 1.02) + 2  # a few may stay empty
+        salt = mixed(np.array([level], np.uint64) + np.uint64(_COMBINED))
+        group = mixed(often ^ salt) % np.uint64(groups)
+        order = np.argsort(group, kind="stable")
+        group = group[order]
+        start = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        held = np.add.reduceat(mixed(often + salt)[order], start)
+        return mixed(held + mixed(group[start] + salt))
+
     def _pairs(self, often: np.ndarray, needed: int, level: int) -> np.ndarray:
         groups = int(np.ceil(self.bounds[level] * (100 - self.percent) / 100)) + 1
         salt = mixed(np.array([level], np.uint64))
