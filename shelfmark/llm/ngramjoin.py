@@ -24,8 +24,8 @@ order within a class is that of the numbers. What is shipped to the tasks has a
 2^20 frequent shingles and a map of 2^26 bits that tells which shingles occur more than once. The
 map may say so wrongly, never the opposite, so a fuller map costs time, not results.
 
-Candidates: within a signature, everything is first compared with its least member only; linked
-sets become components. Then the members of different components of a signature are compared, so
+Candidates: within a signature, everything is first compared with one head only; linked sets become
+components. Then the members of different components of a signature are compared, so
 that no component is missed, while a large group of near copies costs as many comparisons as it has
 members. Before that, the places of the shared shingles in the global order bound what a pair can
 share at most. Sets are compared whole.
@@ -292,14 +292,17 @@ def join_documents(docs: DataFrame, width: int = 4, percent: int = 85, known: fl
     owners = nodes.select("node", "owner")
     posted = rows.select("node", "n", F.inline(F.arrays_zip("sigs", "places"))).toDF(
         "node", "n", "sig", "place")
-    heads = posted.groupBy("sig").agg(
-        F.min(F.struct("node", "n")).alias("head"), F.max("node").alias("last")).where(
-        "head.node < last")
-    live = settle(posted.join(heads.select("sig", "head"), "sig")
-                  .select("sig", "place", "node", "n", "head").distinct())
-    stars = (live.select(F.col("head.node").alias("a"), F.col("head.n").alias("na"),
-                               F.col("node").alias("b"), F.col("n").alias("nb"))
-                   .where("a < b").where(_near_in_size(percent)).distinct())
+    shared = posted.groupBy("sig").agg(F.min("node").alias("first"), F.max("node").alias("last")).where(
+        "first < last").select("sig")
+    live = settle(posted.join(shared, "sig").select("sig", "place", "node", "n").distinct())
+    # The head is the member that has most signatures in common with any other set: the original
+    # among its copies, which differ less from it than from each other.
+    weights = live.groupBy("node").agg(F.count(F.lit(1)).alias("weight"))
+    heads = live.join(weights, "node").groupBy("sig").agg(
+        F.max(F.struct("weight", "node", "n")).alias("head"))
+    stars = (live.join(heads, "sig").select("node", "n", "head").where("node <> head.node").select(
+        F.col("head.node").alias("a"), F.col("head.n").alias("na"),
+        F.col("node").alias("b"), F.col("n").alias("nb")).where(_near_in_size(percent)).distinct())
     # Of a head with very many partners, some per place.
     crowds = stars.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).alias("blocks"))
     stars = settle(stars.join(crowds, "a").withColumn("place", F.xxhash64(
@@ -322,7 +325,8 @@ def join_documents(docs: DataFrame, width: int = 4, percent: int = 85, known: fl
                   .where((F.col("low") < 0) | _can_reach(percent)).select("a", "na", "b", "nb", F.xxhash64(
                       "at.sig", F.pmod(F.xxhash64("a"), F.col("at.blocks")),
                       F.pmod(F.xxhash64("b"), F.col("at.blocks"))).alias("place"))
-                  .join(stars.select("a", "b"), ["a", "b"], "left_anti"))
+                  .join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
+                        ["a", "b"], "left_anti"))
     more = _verified(docs, owners, rest, width, percent)
     parts = components(links.unionByName(more))
     named = (nodes.join(parts, "node", "left")
