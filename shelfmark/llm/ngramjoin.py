@@ -27,8 +27,10 @@ map may say so wrongly, never the opposite, so a fuller map costs time, not resu
 Candidates: within a signature, everything is first compared with one head only; linked sets become
 components. Then the members of different components of a signature are compared, so
 that no component is missed, while a large group of near copies costs as many comparisons as it has
-members. Before that, the places of the shared shingles in the global order bound what a pair can
-share at most. Sets are compared whole.
+members. Before that, 256 parity bits per set bound from below how many shingles differ (common
+ones cancel out), within the join itself, so that a large group of similar sets that do not link
+leaves few rows; the places of the shared shingles in the global order bound what a pair can share
+at most. Neither bound drops a linked pair. Sets are compared whole.
 """
 
 from __future__ import annotations
@@ -51,6 +53,7 @@ _FREQUENT_MOST = 1 << 20
 _MAP_WORDS = 1 << 20  # of 64 bits
 _BLOCK = 512
 _TASK_BYTES = 16 << 20
+_PARITY = ["p0", "p1", "p2", "p3"]  # 64 buckets each
 _COMBINED = 1 << 32  # keeps numbers of combinations apart from those of pairs
 _LEAST = 4  # smaller sets link with equal ones only, from 80 percent on
 
@@ -193,11 +196,12 @@ def _prepared(docs: DataFrame, width: int, percent: int, known: float, frequent,
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _Index(*shipped.value, percent, known)
         for batch in batches:
-            sizes, nodes, sigs, places = [], [], [], []
+            sizes, nodes, sigs, places, parity = [], [], [], [], []
             for text in batch.column(1):
                 tokens = shingle_set(text.as_py(), width)
                 sizes.append(len(tokens))
                 nodes.append(_node(tokens))
+                parity.append(_parity(tokens))
                 for out, found in zip((sigs, places), index(tokens), strict=True):
                     out.append(found)
             ends = np.cumsum([0, *map(len, sigs)]).astype(np.int32)
@@ -206,10 +210,12 @@ def _prepared(docs: DataFrame, width: int, percent: int, known: float, frequent,
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64))),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(place))],
-                ["doc_id", "text_no", "n", "node", "sigs", "places"])
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(place)),
+                 *map(pa.array, np.array(parity, np.int64).reshape(-1, len(_PARITY)).T)],
+                ["doc_id", "text_no", "n", "node", "sigs", "places", *_PARITY])
     return docs.withColumn("text_no", F.xxhash64("text")).mapInArrow(
-        prepare, "doc_id long, text_no long, n long, node long, sigs array<long>, places array<int>")
+        prepare, "doc_id long, text_no long, n long, node long, sigs array<long>, places array<int>, "
+        + ", ".join(f"{p} long" for p in _PARITY))
 
 
 def _node(tokens: np.ndarray) -> int | None:
@@ -219,6 +225,12 @@ def _node(tokens: np.ndarray) -> int | None:
     return int(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes())).view(np.int64))
 
 
+def _parity(tokens: np.ndarray) -> np.ndarray:
+    """Per bucket of the number range, whether it holds an odd number of shingles."""
+    counts = np.bincount((tokens >> np.uint64(56)).astype(np.int64), minlength=64 * len(_PARITY))
+    return np.packbits((counts & 1).astype(bool)).view(np.int64)
+
+
 # -- candidates and links --------------------------------------------------------------------------
 
 def _verified(docs: DataFrame, owners: DataFrame, pairs: DataFrame, width: int,
@@ -264,6 +276,13 @@ def _near_in_size(percent: int):
     return F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
 
 
+def _few_differ(percent: int):
+    """Whether sets a and b may differ in as few shingles as linked ones do: buckets of unequal
+    parity hold at least one shingle that only one of them has."""
+    odd = sum(F.bit_count(F.col(f"{p}a").bitwiseXOR(F.col(f"{p}b"))) for p in _PARITY)
+    return odd * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
+
+
 def _can_reach(percent: int):
     """Whether a pair that shares k single signatures, the last one at places ia and ib, can still
     share enough: beyond that place at most the rest of the smaller remainder is shared."""
@@ -288,7 +307,8 @@ def join_documents(docs: DataFrame, width: int = 4, percent: int = 85, known: fl
     rows = settle(_prepared(docs, width, percent, known, _frequent(counts, seldom),
                             _bits(counts, "token")))
     nodes = settle(rows.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("least_id"), F.min("text_no").alias("owner")))
+        F.min("doc_id").alias("least_id"), F.min("text_no").alias("owner"),
+        *(F.min(p).alias(p) for p in _PARITY)))
     owners = nodes.select("node", "owner")
     posted = rows.select("node", "n", F.inline(F.arrays_zip("sigs", "places"))).toDF(
         "node", "n", "sig", "place")
@@ -313,11 +333,14 @@ def join_documents(docs: DataFrame, width: int = 4, percent: int = 85, known: fl
         "part", F.coalesce("component", "node"))
     mixed_sigs = placed.groupBy("sig").agg(
         F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("sig")
-    open_rows = settle(placed.join(mixed_sigs, "sig").select("sig", "place", "node", "n", "part"))
+    open_rows = settle(placed.join(mixed_sigs, "sig").join(nodes.select("node", *_PARITY), "node")
+                       .select("sig", "place", "node", "n", "part", *_PARITY))
     crowds = open_rows.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).alias("blocks"))
-    left = open_rows.toDF("sig", "ia", "a", "na", "pa").join(crowds, "sig")
-    right = open_rows.toDF("sig", "ib", "b", "nb", "pb")
-    rest = settle(left.join(right, "sig").where("a < b and pa <> pb").where(_near_in_size(percent))
+    left = open_rows.toDF("sig", "ia", "a", "na", "pa", *(f"{p}a" for p in _PARITY)).join(
+        crowds, "sig")
+    right = open_rows.toDF("sig", "ib", "b", "nb", "pb", *(f"{p}b" for p in _PARITY))
+    rest = settle(left.join(right, "sig").where("a < b and pa <> pb").where(
+                      _near_in_size(percent) & _few_differ(percent))
                   .groupBy("a", "na", "b", "nb").agg(
                       F.count(F.lit(1)).alias("k"), F.max("ia").alias("ia"),
                       F.max("ib").alias("ib"), F.min(F.least("ia", "ib")).alias("low"),
@@ -333,7 +356,7 @@ def join_documents(docs: DataFrame, width: int = 4, percent: int = 85, known: fl
              .withColumn("component", F.coalesce("component", "node")))
     smallest = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     of_node = named.join(smallest, "component").select("node", "component_id")
-    return rows.drop("sigs", "places", "text_no").join(of_node, "node", "left").select(
+    return rows.drop("sigs", "places", "text_no", *_PARITY).join(of_node, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
         .alias("component_id"))
