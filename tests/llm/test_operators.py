@@ -143,6 +143,27 @@ def test_ngram_join_equals_brute_force(spark):
     assert sorted(map(tuple, got)) == want
 
 
+@pytest.mark.parametrize("percent", [80, 85, 95])
+def test_linked_sets_share_a_signature_and_pass_the_parity_bound(percent):
+    rng = np.random.default_rng(percent)
+    repeated = np.full(1 << 20, 2 ** 64 - 1, np.uint64)
+    for _ in range(1500):
+        n = int(rng.integers(4, 400))
+        a = np.unique(rng.integers(0, 2 ** 64, n, np.uint64))
+        # As far apart as a link allows: some shingles are dropped, others are new.
+        dropped = int(rng.integers(0, n * (100 - percent) // 100 + 1))
+        new = max(0, 100 * (n - dropped) // percent - n)
+        b = np.unique(np.concatenate([rng.permutation(a)[dropped:],
+                                      rng.integers(0, 2 ** 64, new, np.uint64)]))
+        shared = len(np.intersect1d(a, b))
+        assert 100 * shared >= percent * (len(a) + len(b) - shared)
+        either = np.union1d(a, b)
+        index = ngramjoin._Index(either[rng.random(len(either)) < rng.random()], repeated, percent, 0.2)
+        assert len(np.intersect1d(index(a)[0], index(b)[0]))
+        odd = np.bitwise_count((ngramjoin._parity(a) ^ ngramjoin._parity(b)).view(np.uint64)).sum()
+        assert odd <= len(np.setxor1d(a, b))
+
+
 @pytest.fixture(scope="module")
 def vectors():
     rng = np.random.default_rng(4)
