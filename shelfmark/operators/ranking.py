@@ -71,12 +71,10 @@ def union_of_rankings(df: DataFrame, key: str, rankings: Sequence[tuple[str, str
     return met.withColumn("page", page).join(F.broadcast(read), ["ranking", "page"]).drop("page")
 
 
-def pages(df: DataFrame, order: Sequence[Column], per_page: int,
-          max_pages: int | None = None) -> DataFrame:
-    """Add a 1-based page number; rows beyond ``max_pages`` are not reached."""
+def pages(df: DataFrame, order: Sequence[Column], per_page: int) -> DataFrame:
+    """Add a 1-based page number to every row."""
     numbered = number_rows(df, order, name="_n")
-    paged = numbered.withColumn("page", F.floor((F.col("_n") - 1) / per_page) + 1).drop("_n")
-    return paged if max_pages is None else paged.filter(F.col("page") <= max_pages)
+    return numbered.withColumn("page", F.floor((F.col("_n") - 1) / per_page) + 1).drop("_n")
 
 
 def batches(df: DataFrame, order: Sequence[Column],

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from . import query, table
 from ..functions import urls
 from ..operators import aggregates
+from ..operators.ordered import number_rows
 from ..plans import artwork as artwork_plans
 
 
@@ -123,19 +124,16 @@ def robust_tilt(spark, sf_dir):
 
 
 @query("natural_sort", """
-SELECT l_partkey, string_agg(name, ',' ORDER BY rn) AS names FROM (
-  SELECT l_partkey, 'image_' || l_linenumber * 7 || '_' || l_orderkey AS name,
-         row_number() OVER (PARTITION BY l_partkey ORDER BY l_linenumber,
-                            'image_' || l_linenumber * 7 || '_' || l_orderkey) AS rn
-  FROM (SELECT DISTINCT l_partkey, l_linenumber, l_orderkey FROM lineitem)) WHERE rn <= 20
-GROUP BY l_partkey""")
+SELECT l_partkey, 'image_' || l_linenumber * 7 || '_' || l_orderkey AS name,
+       row_number() OVER (PARTITION BY l_partkey ORDER BY l_linenumber,
+                          'image_' || l_linenumber * 7 || '_' || l_orderkey) AS position
+FROM (SELECT DISTINCT l_partkey, l_linenumber, l_orderkey FROM lineitem)""")
 def natural_sort(spark, sf_dir):
     name = F.concat(F.lit("image_"), (F.col("l_linenumber") * 7).cast("string"), F.lit("_"),
                     F.col("l_orderkey").cast("string"))
     rows = table(spark, sf_dir, "lineitem").select("l_partkey", name.alias("name")).distinct()
-    found = aggregates.first_items(rows, "l_partkey", "name",
-                                   [urls.number_in(F.col("name")), F.col("name")])
-    return found.select("l_partkey", F.array_join("items", ",").alias("names"))
+    return number_rows(rows, [urls.number_in(F.col("name")), F.col("name")], ["l_partkey"],
+                       "position").select("l_partkey", "name", "position")
 
 
 @query("min_resolution", """

@@ -252,8 +252,9 @@ def test_union_of_rankings(spark, max_rows):
 
 def test_pages_and_batches(spark):
     frame = spark.range(95).repartition(3)
-    paged = ranking.pages(frame, [F.col("id")], 20, max_pages=3)
-    assert rows(paged.groupBy("page").count(), "page", "count") == [(1, 20), (2, 20), (3, 20)]
+    paged = ranking.pages(frame, [F.col("id")], 20)
+    assert rows(paged.groupBy("page").count(), "page", "count") == [
+        (1, 20), (2, 20), (3, 20), (4, 20), (5, 15)]
     batched = ranking.batches(frame, [F.col("id")])
     assert rows(batched.groupBy("batch").count(), "batch", "count") == [(0, 40), (1, 40), (2, 15)]
     assert ranking.rows_from(frame, [F.col("id")], 90).count() == 5
