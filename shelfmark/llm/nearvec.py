@@ -1,8 +1,9 @@
 """Groups of near-equal vectors: a navigable small-world graph per shard, every shard queried.
 
 Equal vectors are one node with a count. Nodes are dealt to shards of bounded size by hash; one task
-builds a shard's graph and audits it: for some of its own nodes the links found are held against
-all links by brute force, and the beam is widened until the audit passes. Every block of nodes then
+builds a shard's graph and audits it: for some of its own nodes and some of other shards the links
+found are held against all links by brute force, and the beam is widened until the audit passes; if
+none does, the shard is compared as a whole. Every block of nodes then
 queries every shard. Links are verified in double precision; of a block's and a shard's links only
 the number per node and a spanning forest leave the task, never all pairs of a group.
 
@@ -24,9 +25,11 @@ from .vectors import doubles, matrix, pack, unpack, valid
 SHARD_ROWS = 65_536
 SHARD_BYTES = 64 << 20
 BLOCK_ROWS = 8_192
-AUDITED = 256
+AUDITED = 256       # nodes with a link that an audit takes at least, if there are so many
+FOREIGN = 16_384    # nodes of other shards that an audit may draw from
 RECALL = 0.995
 _SLACK = 1e-4  # of the graph's single precision
+_CHUNK = 128
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -35,20 +38,63 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt(np.einsum("ij,ij->i", vectors, vectors))[:, None]
 
 
-def _audited(graph, units: np.ndarray, least: float, recall: float) -> int:
-    """The beam at which the links of some nodes are found."""
-    some = units[:: max(1, len(units) // AUDITED)][:AUDITED].astype(np.float32)
-    nearness = 2 * least - 1
-    wanted = [np.flatnonzero(row >= nearness) for row in
-              some @ graph.vectors.T * 2 - graph.half[None, :]]
-    total = sum(map(len, wanted))
+def _found(graph, part: np.ndarray, units: np.ndarray, least: float, beam: int) -> np.ndarray:
+    """The links of ``part`` that a beam finds in the graph of ``units``, verified in doubles."""
+    hit = np.zeros((len(part), len(units)), bool)
+    r, v = graph.within(part.astype(np.float32), 2 * least - 1 - _SLACK, beam)
+    for s in range(0, len(r), 65536):
+        x, y = r[s:s + 65536], v[s:s + 65536]
+        hit[x, y] = np.einsum("ij,ij->i", part[x], units[y]) >= least
+    return hit
+
+
+def _linked(nodes: np.ndarray, units: np.ndarray, least: float, own: bool):
+    """Of nodes, in random order, the first AUDITED or more that link with another, and their links;
+    ``own`` nodes are the units themselves. All nodes are gone through if there are fewer."""
+    some, wanted, count = [], [], 0
+    rough = units.astype(np.float32)
+    order = np.random.default_rng(11).permutation(len(nodes))
+    for k in range(0, len(nodes), _CHUNK):
+        chosen = order[k:k + _CHUNK]
+        part = nodes[chosen]
+        near = part.astype(np.float32) @ rough.T >= least - _SLACK
+        if own:
+            near[np.arange(len(part)), chosen] = False
+        for i in np.flatnonzero(near.any(axis=1)):
+            at = np.flatnonzero(near[i])
+            near[i, at] = units[at] @ part[i] >= least
+        rows = near.any(axis=1)
+        some.append(part[rows])
+        wanted.append(near[rows])
+        count += rows.sum()
+        if count >= AUDITED:
+            break
+    return np.concatenate(some), np.concatenate(wanted)
+
+
+def _audited(graph, units: np.ndarray, least: float, recall: float,
+             foreign: np.ndarray | None = None) -> int:
+    """The beam at which nodes with a link have found ``recall`` of their links in the mean: the
+    shard's own, and ``foreign`` ones, which are not in the graph. The number of units, for which all
+    are compared, if no beam does it that is cheaper, or if foreign nodes link too seldom to tell."""
+    audits = [_linked(units, units, least, True)]
+    if foreign is not None and len(foreign):
+        audits.append(_linked(foreign, units, least, False))
+        if len(audits[1][0]) < min(AUDITED, len(foreign)):
+            return len(units)
+
+    def passes(nodes, wanted, beam):
+        shares = [np.empty(0)]
+        for k in range(0, len(nodes), _CHUNK):
+            want = wanted[k:k + _CHUNK]
+            hit = _found(graph, nodes[k:k + _CHUNK], units, least, beam)
+            shares.append((hit & want).sum(axis=1) / want.sum(axis=1))
+        shares = np.concatenate(shares)
+        return not len(shares) or shares.mean() >= recall
+
     beam = 16
-    while beam < len(units):
-        found = 0
-        for k in range(0, len(some), 128):
-            r, v = graph.within(some[k:k + 128], nearness, beam)
-            found += len(np.unique(r * len(units) + v))
-        if found >= recall * total:
+    while beam * graph.links[0].shape[1] < len(units):  # beyond, the beam reads more than there is
+        if all(passes(*audit, beam) for audit in audits):
             return beam
         beam *= 2
     return len(units)
@@ -114,17 +160,29 @@ def groups(df: DataFrame, least: float = 0.9, key: str = "vec_id", vector: str =
         "width",
         F.ceil(F.col("count") / F.least(F.lit(shard_rows), F.greatest(
             F.lit(1024), F.floor(F.lit(SHARD_BYTES) / (F.col("width") * 4))))).alias("shards"),
-        F.ceil(F.col("count") / block_rows).alias("blocks"))
+        F.ceil(F.col("count") / block_rows).alias("blocks"),
+        (F.lit(FOREIGN) / F.col("count")).alias("drawn"))
     dealt = nodes.join(sized, "width").select(
-        "width", "cid", "copies", "vec", "shards", "blocks",
+        "width", "cid", "copies", "vec", "shards", "blocks", "drawn",
         F.pmod(F.xxhash64("cid", F.lit(1)), "shards").alias("shard"),
         F.pmod(F.xxhash64("cid", F.lit(2)), "blocks").alias("block"))
+    foreign = dealt.where((F.col("shards") > 1) & (
+        F.pmod(F.xxhash64("cid", F.lit(3)), F.lit(1 << 20)) < F.col("drawn") * (1 << 20))).withColumn(
+        "home", F.col("shard")).withColumn("shard", F.explode(F.sequence(
+            F.lit(0), F.col("shards") - 1))).where("shard <> home")
+    audited = dealt.withColumn("home", F.col("shard")).unionByName(foreign)
 
     def shard_graph(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.iloc[np.random.default_rng(7).permutation(rows["cid"].to_numpy().argsort())]
+        here = (rows["home"] == rows["shard"]).to_numpy()
+        rows, others = rows[here], rows[~here]
+        if not len(rows):
+            return pd.DataFrame(columns=["width", "shard", "blocks", "beam", "cids", "copies", "exact",
+                                         "nodes", "sizes", "links"])
         units = _unit(matrix(rows["vec"]))
         graph = build(units)
-        beam = _audited(graph, units, least, RECALL)
+        beam = _audited(graph, units, least, RECALL,
+                        _unit(matrix(others["vec"])) if len(others) else None)
         return pd.DataFrame([{
             "width": rows["width"].iloc[0], "shard": rows["shard"].iloc[0],
             "blocks": rows["blocks"].iloc[0], "beam": beam,
@@ -132,7 +190,7 @@ def groups(df: DataFrame, least: float = 0.9, key: str = "vec_id", vector: str =
             "copies": rows["copies"].to_numpy(np.int64).tobytes(),
             "exact": units.tobytes(), **pack(graph)}])
 
-    graphs = settle(dealt.groupBy("width", "shard").applyInPandas(
+    graphs = settle(audited.drop("shards", "drawn", "block").groupBy("width", "shard").applyInPandas(
         shard_graph, "width int, shard long, blocks long, beam long, cids binary, copies binary, "
         "exact binary, nodes binary, sizes binary, links binary"))
     spread = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
