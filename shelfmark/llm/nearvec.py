@@ -3,12 +3,13 @@
 Equal vectors are one node with a count. Nodes are dealt to shards of bounded size by hash; one task
 builds a shard's graph and audits it: for some of its own nodes and some of other shards the links
 found are held against all links by brute force, and the beam is widened until the audit passes; if
-none does, the shard is compared as a whole. Every block of nodes then
-queries every shard. Links are verified in double precision; of a block's and a shard's links only
-the number per node and a spanning forest leave the task, never all pairs of a group.
+none does, the shard is compared as a whole. One task per unordered pair of shards queries each with
+the other's nodes. Links are verified in double precision, and one found from either end counts at
+both; of a pair of shards only the number per node and a spanning forest leave the task, never all
+pairs of a group.
 
-Blocks times shards grow with the square of the number of nodes over (shard size * block size); that
-is the method's price.
+The pairs of shards grow with the square of the number of nodes over the shard size; that is the
+method's price.
 """
 
 from __future__ import annotations
@@ -100,42 +101,99 @@ def _audited(graph, units: np.ndarray, least: float, recall: float,
     return len(units)
 
 
-def _forest(left: np.ndarray, right: np.ndarray) -> pd.DataFrame:
-    """Edges (u, v) that connect what the pairs connect, one per node at most."""
-    nodes, at = np.unique(np.concatenate([left, right]), return_inverse=True)
-    a, b = at[:len(left)], at[len(left):]
-    label = np.arange(len(nodes))
-    while True:
-        least = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, least)
-        np.minimum.at(new, b, least)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    tied = label != np.arange(len(nodes))
-    return pd.DataFrame({"u": nodes[tied], "v": nodes[label[tied]]})
-
-
-def _links(graph, cids, copies, exact, ids, vectors, least, beam):
-    """Links of a block's vectors with a shard: (block row, shard row), verified in doubles."""
-    units = _unit(vectors)
-    found = []
-    for k in range(0, len(units), 128):
-        part = units[k:k + 128]
-        if beam >= len(cids):
-            r, v = np.nonzero(part @ exact.T >= least)
+class _Pairs:
+    """A set of pairs (row, column): sorted numbers, or a matrix of bits when that is smaller."""
+
+    def __init__(self, rows: int, columns: int):
+        self.shape, self.new, self.held, self.bits = (rows, columns), [], np.empty(0, np.int64), None
+
+    def add(self, hit: np.ndarray, k: int, turned: bool) -> None:
+        """Add the pairs at which ``hit`` is true; it begins at row k, or ``turned`` at column k,
+        a multiple of 8."""
+        if self.bits is None:
+            r, v = np.nonzero(hit)
+            self.new.append(v * self.shape[1] + r + k if turned else (r + k) * self.shape[1] + v)
+            if sum(map(len, self.new)) > max(1 << 22, len(self.held)):
+                self.fold()
+        elif turned:
+            packed = np.packbits(np.ascontiguousarray(hit.T), axis=1)
+            self.bits[:, k // 8:k // 8 + packed.shape[1]] |= packed
         else:
-            r, v = graph.within(part.astype(np.float32), 2 * least - 1 - _SLACK, beam)
-            cosine = np.concatenate([
-                np.einsum("ij,ij->i", part[r[s:s + 65536]], exact[v[s:s + 65536]])
-                for s in range(0, len(r), 65536)] or [np.empty(0)])
-            r, v = r[cosine >= least], v[cosine >= least]
-        found.append((r + k, v))
-    r, v = (np.concatenate(x) for x in zip(*found, strict=True))
-    other = ids[r] != cids[v]
-    return r[other], v[other]
+            self.bits[k:k + len(hit)] |= np.packbits(hit, axis=1)
+
+    def fold(self) -> None:
+        rows, columns = self.shape
+        self.held, self.new = np.unique(np.concatenate([self.held, *self.new])), []
+        if 64 * len(self.held) <= rows * columns:
+            return
+        self.bits = np.zeros((rows, -(-columns // 8)), np.uint8)
+        for k in range(0, rows, _CHUNK):
+            own = self.held[slice(*np.searchsorted(
+                self.held, [k * columns, (k + _CHUNK) * columns]))]
+            part = np.zeros((min(_CHUNK, rows - k), columns), bool)
+            part.ravel()[own - k * columns] = True
+            self.bits[k:k + _CHUNK] = np.packbits(part, axis=1)
+        self.held = self.held[:0]
+
+    def stripes(self, most: int):
+        """The pairs by at most ``most`` rows at a time."""
+        if self.bits is None:
+            self.fold()
+        rows, columns = self.shape
+        step = max(1, min(most, (1 << 23) // max(1, columns)))
+        for k in range(0, rows, step):
+            if self.bits is None:
+                own = self.held[slice(*np.searchsorted(
+                    self.held, [k * columns, (k + step) * columns]))]
+                yield own // columns, own % columns
+            else:
+                r, v = np.nonzero(np.unpackbits(self.bits[k:k + step], axis=1, count=columns))
+                yield r + k, v
+
+
+def _hang(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``label`` (every node's root, the least of its tree) after uniting a's and b's trees."""
+    while True:
+        x, y = label[a], label[b]
+        apart = x != y
+        if not apart.any():
+            return label
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while (label[label] != label).any():
+            label = label[label]
+
+
+def _joined(one, other, least: float, block_rows: int):
+    """Links between two shards (graph, cids, copies, units, beam), or within one if ``other`` is
+    None: cids, the number of links per cid, and cids' roots."""
+    alone = other is None
+    other = one if alone else other
+    pairs = _Pairs(len(one[1]), len(other[1]))
+
+    def ask(nodes, shard, turned):
+        graph, _, _, units, beam = shard
+        for k in range(0, len(nodes), _CHUNK):
+            part = nodes[k:k + _CHUNK]
+            hit = (part @ units.T >= least if beam >= len(units)
+                   else _found(graph, part, units, least, beam))
+            if alone:
+                hit[np.arange(len(part)), k + np.arange(len(part))] = False
+                pairs.add(hit, k, True)
+            pairs.add(hit, k, turned)
+
+    ask(one[3], other, False)
+    if not alone:
+        ask(other[3], one, True)
+    n, shift = len(one[1]), 0 if alone else len(one[1])
+    cids = one[1] if alone else np.concatenate([one[1], other[1]])
+    counts, label = np.zeros(len(cids), np.int64), np.arange(len(cids))
+    for r, v in pairs.stripes(block_rows):
+        counts[:n] += np.bincount(r, other[2][v], minlength=n).astype(np.int64)
+        if not alone:
+            counts[n:] += np.bincount(v, one[2][r], minlength=len(cids) - n).astype(np.int64)
+        label = _hang(label, r, v + shift)
+    return cids, counts, cids[label]
 
 
 def groups(df: DataFrame, least: float = 0.9, key: str = "vec_id", vector: str = "embedding",
@@ -155,19 +213,17 @@ def groups(df: DataFrame, least: float = 0.9, key: str = "vec_id", vector: str =
                    .withColumn("cid", F.monotonically_increasing_id())
                    .withColumn("width", F.size("vec")))
     widths = nodes.groupBy("width").count()  # one row per vector length
-    # Shards and blocks of bounded size per vector length.
+    # Shards of bounded size per vector length; of its nodes, some that other shards' audits draw.
     sized = widths.select(
         "width",
         F.ceil(F.col("count") / F.least(F.lit(shard_rows), F.greatest(
             F.lit(1024), F.floor(F.lit(SHARD_BYTES) / (F.col("width") * 4))))).alias("shards"),
-        F.ceil(F.col("count") / block_rows).alias("blocks"),
         (F.lit(FOREIGN) / F.col("count")).alias("drawn"))
     dealt = nodes.join(sized, "width").select(
-        "width", "cid", "copies", "vec", "shards", "blocks", "drawn",
-        F.pmod(F.xxhash64("cid", F.lit(1)), "shards").alias("shard"),
-        F.pmod(F.xxhash64("cid", F.lit(2)), "blocks").alias("block"))
+        "width", "cid", "copies", "vec", "shards", "drawn",
+        F.pmod(F.xxhash64("cid", F.lit(1)), "shards").alias("shard"))
     foreign = dealt.where((F.col("shards") > 1) & (
-        F.pmod(F.xxhash64("cid", F.lit(3)), F.lit(1 << 20)) < F.col("drawn") * (1 << 20))).withColumn(
+        F.pmod(F.xxhash64("cid", F.lit(2)), F.lit(1 << 20)) < F.col("drawn") * (1 << 20))).withColumn(
         "home", F.col("shard")).withColumn("shard", F.explode(F.sequence(
             F.lit(0), F.col("shards") - 1))).where("shard <> home")
     audited = dealt.withColumn("home", F.col("shard")).unionByName(foreign)
@@ -177,7 +233,7 @@ def groups(df: DataFrame, least: float = 0.9, key: str = "vec_id", vector: str =
         here = (rows["home"] == rows["shard"]).to_numpy()
         rows, others = rows[here], rows[~here]
         if not len(rows):
-            return pd.DataFrame(columns=["width", "shard", "blocks", "beam", "cids", "copies", "exact",
+            return pd.DataFrame(columns=["width", "shard", "shards", "beam", "cids", "copies", "exact",
                                          "nodes", "sizes", "links"])
         units = _unit(matrix(rows["vec"]))
         graph = build(units)
@@ -185,35 +241,34 @@ def groups(df: DataFrame, least: float = 0.9, key: str = "vec_id", vector: str =
                         _unit(matrix(others["vec"])) if len(others) else None)
         return pd.DataFrame([{
             "width": rows["width"].iloc[0], "shard": rows["shard"].iloc[0],
-            "blocks": rows["blocks"].iloc[0], "beam": beam,
+            "shards": rows["shards"].iloc[0], "beam": beam,
             "cids": rows["cid"].to_numpy(np.int64).tobytes(),
             "copies": rows["copies"].to_numpy(np.int64).tobytes(),
             "exact": units.tobytes(), **pack(graph)}])
 
-    graphs = settle(audited.drop("shards", "drawn", "block").groupBy("width", "shard").applyInPandas(
-        shard_graph, "width int, shard long, blocks long, beam long, cids binary, copies binary, "
+    graphs = settle(audited.drop("drawn").groupBy("width", "shard").applyInPandas(
+        shard_graph, "width int, shard long, shards long, beam long, cids binary, copies binary, "
         "exact binary, nodes binary, sizes binary, links binary"))
-    spread = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    asking = dealt.select("width", "cid", "vec", "block", F.explode(
-        F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
+    # Every unordered pair of shards, a shard with itself too, meets in one task.
+    met = graphs.withColumn("partner", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).withColumn(
+        "low", F.least("shard", "partner")).withColumn("high", F.greatest("shard", "partner"))
 
-    def query(block: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
-        if not len(block) or not len(shard):
+    def query(shards: pd.DataFrame) -> pd.DataFrame:
+        held, within = [], shards["low"].iloc[0] == shards["high"].iloc[0]
+        for _, row in shards.iterrows():
+            width = int(row["width"])
+            cids, copies = (np.frombuffer(row[k], np.int64) for k in ("cids", "copies"))
+            held.append((unpack(row, width), cids, copies, np.frombuffer(
+                row["exact"], np.float64).reshape(-1, width), int(row["beam"])))
+        if len(held) == 1 and not within:  # the partner has no nodes
             return pd.DataFrame({"u": [], "v": [], "n": []}).astype("int64")
-        row = shard.iloc[0]
-        width = int(row["width"])
-        cids, copies = (np.frombuffer(row[k], np.int64) for k in ("cids", "copies"))
-        exact = np.frombuffer(row["exact"], np.float64).reshape(-1, width)
-        ids = block["cid"].to_numpy(np.int64)
-        r, v = _links(unpack(row, width), cids, copies, exact, ids, matrix(block["vec"]), least,
-                      int(row["beam"]))
-        counts = np.bincount(r, copies[v], minlength=len(ids)).astype(np.int64)
-        some = counts > 0
+        ids, counts, roots = _joined(held[0], None if within else held[1], least, block_rows)
+        some, tied = counts > 0, roots != ids
         return pd.concat([pd.DataFrame({"u": ids[some], "v": -1, "n": counts[some]}),
-                          _forest(ids[r], cids[v]).assign(n=0)]).astype("int64")
+                          pd.DataFrame({"u": ids[tied], "v": roots[tied], "n": 0})]).astype("int64")
 
-    found = settle(asking.groupBy("width", "shard", "block").cogroup(
-        spread.groupBy("width", "shard", "block")).applyInPandas(query, "u long, v long, n long"))
+    found = settle(met.groupBy("width", "low", "high").applyInPandas(
+        query, "u long, v long, n long"))
     counts = found.where("v < 0").groupBy("u").agg(F.sum("n").alias("n"))
     parts = components(found.where("v >= 0").select("u", "v"))
     named = nodes.join(parts, F.col("cid") == F.col("node"), "left").join(

@@ -1,6 +1,7 @@
 """The recall audit against graphs that lose links."""
 
 import numpy as np
+import pytest
 
 from shelfmark.llm import nearvec
 from shelfmark.llm.smallworld import Graph
@@ -50,3 +51,55 @@ def test_audit_asks_for_nodes_of_other_shards():
     assert nearvec._audited(Losing(own, np.ones(600, bool)), own, 0.9, 0.995, foreign) == 600
     # Too few of them link to tell.
     assert nearvec._audited(Losing(own, np.zeros(600, bool)), own, 0.9, 0.995, units[1:800:2] * -1) == 600
+
+
+def brute(units):
+    links = units @ units.T >= 0.9
+    label = np.arange(len(units))
+    while True:
+        new = np.array([label[row].min() for row in links])
+        if (new == label).all():
+            return links.sum(axis=1) - 1, label
+        label = new
+
+
+@pytest.mark.parametrize("shard_rows", [700, 4000])
+def test_groups_of_pairs_beside_a_crowd_equal_brute_force(spark, shard_rows):
+    units = units_of(np.random.default_rng(5), 300, 500, 700)
+    units = units[np.random.default_rng(6).permutation(len(units))]
+    df = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(units)],
+                               "vec_id long, embedding array<double>")
+    got = nearvec.groups(df, 0.9, shard_rows=shard_rows, block_rows=300).orderBy("vec_id").collect()
+    counts, label = brute(units)
+    assert [r["n_links"] for r in got] == counts.tolist()
+    assert [r["component_id"] for r in got] == label.tolist()
+
+
+class Blind(Losing):
+    """Finds nothing."""
+
+    def within(self, queries, least, beam):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+
+
+@pytest.mark.parametrize("rows", [8, 1 << 20])
+def test_a_link_found_from_one_end_counts_at_both(rows):
+    units = units_of(np.random.default_rng(7), 30, 100, 170)
+    units = units[np.random.default_rng(8).permutation(len(units))]
+    cids, copies = np.arange(400) * 3, np.arange(400) % 3 + 1
+    links = units @ units.T >= 0.9
+    np.fill_diagonal(links, False)
+    at = np.arange(400) < 150
+    # Two shards: only the second's nodes, asking the first, find links.
+    shards = [(kind(units[own], np.zeros(own.sum(), bool)), cids[own], copies[own], units[own], 16)
+              for kind, own in ((Losing, at), (Blind, ~at))]
+    for one, other in (shards, shards[::-1]):
+        ids, counts, roots = nearvec._joined(one, other, 0.9, rows)
+        want = (links & (at[:, None] != at)) @ copies
+        assert dict(zip(ids, counts)) == dict(zip(cids, want))
+        label = dict(zip(ids, roots))
+        assert all(label[cids[x]] == label[cids[y]] for x, y in np.argwhere(links) if at[x] != at[y])
+    # One shard, of which the even nodes are found by no other.
+    lost = np.arange(400) % 2 == 0
+    ids, counts, _ = nearvec._joined((Losing(units, lost), cids, copies, units, 16), None, 0.9, rows)
+    assert counts.tolist() == ((links & ~(lost[:, None] & lost)) @ copies).tolist()
