@@ -36,13 +36,14 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one of least id. Of rows that repeat this
-    id, every one with the group's least text digest stays that is not an equal row."""
-    parts = ngramjoin.join_documents(docs, 5, 80)
-    kept = parts.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").select(
-        *COLUMNS).dropDuplicates(["doc_id", "text"])
+    """One row of each group of near copies: the one of least id, null ids last, and of rows that
+    repeat this id the one of least text digest. All rows of empty texts stay: they are like none."""
+    rows = settle(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()))
+    parts = ngramjoin.join_documents(rows.select(F.col("_row").alias("doc_id"), "text"), 5, 80)
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", F.sha2("text", 256), "_row")
+    kept = (rows.join(parts.select(F.col("doc_id").alias("_row"), "component_id"), "_row")
+            .groupBy("component_id").agg(F.min(first)["_row"].alias("_row")).select("_row"))
+    return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
