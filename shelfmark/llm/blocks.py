@@ -4,11 +4,16 @@ A page is cut into text blocks at block-level tags. Each block has a word count
 those of its two neighbours, and where it stands: inside an article, inside a part whose tag or name
 says navigation, advert, comments and so on, in a heading or a paragraph. A decision tree, trained
 on the small labelled table below, tells main text from the rest. Nothing else is dropped or cut.
+
+What only a name (or a form around all) says is overruled where no article or main element stands
+elsewhere on the page: by a name of main text on an element within, and for a part that holds most of
+the page's words outside links.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -19,6 +24,8 @@ from pyspark.sql import DataFrame, functions as F
 # Names of HTML elements, and name parts that sites give to parts of a page.
 _SKIPPED = frozenset("script style noscript template textarea select title iframe svg canvas audio "
                      "video object".split())
+#: Of these, the ones that hold plain characters; the others hold elements.
+_RAW = frozenset("script style textarea title iframe".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd "
                     "label mark q rp rt ruby s samp small span strike strong sub sup time tt u "
                     "var wbr".split())
@@ -117,38 +124,108 @@ def decide(features, node) -> int:
     return node
 
 
-def _marks(name: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
-    """Whether an element begins a part outside the main text, and whether the main text."""
-    parts = {p.lower() for m in _NAMES.finditer(attributes) for g in m.groups() if g
-             for p in _PART.findall(g)}
-    if _HIDDEN.search(attributes):
-        return True, False
-    main = name in ("article", "main")
-    inside = main or bool(parts & _INSIDE_NAMES)
-    if parts & _COMMENT_NAMES:
-        return True, False
-    outside = name in _OUTSIDE or (name == "header" and not in_article) or bool(
-        parts & _OUTSIDE_NAMES)
-    return outside and not inside, main
+class _Place:
+    """An element that blocks stand in, below its parent; ``hard`` marks it as outside for good, and
+    ``soft`` by a name; ``main`` is an article or main element, ``named`` has a name of main text."""
+
+    def __init__(self, name: str, parent: _Place | None, attributes: str = ""):
+        self.name, self.parent, self.words = name, parent, 0
+        self.main = name in ("article", "main")
+        self.article = self.main or bool(parent and parent.article)
+        self.hard = self.soft = self.named = False
+        if name == "body":
+            return
+        parts = {p.lower() for m in _NAMES.finditer(attributes) for g in m.groups() if g
+                 for p in _PART.findall(g)}
+        if _HIDDEN.search(attributes) or parts & _COMMENT_NAMES:
+            self.hard, self.main = True, False
+            self.article = bool(parent and parent.article)
+        elif not self.main and not parts & _INSIDE_NAMES:
+            self.soft = name == "form" or bool(parts & _OUTSIDE_NAMES)
+            self.hard = (name in _OUTSIDE and name != "form") or (
+                name == "header" and not (parent and parent.article))
+        self.named = bool(parts & _INSIDE_NAMES) and not self.hard and not parts & _OUTSIDE_NAMES
+
+
+def _outside(places: list[_Place], count: int) -> None:
+    """Set ``outside`` of every place; parents come first. ``count``: the page's words outside links;
+    places have those of their own blocks."""
+    for p in reversed(places):  # words and articles of what a place holds
+        p.articles = getattr(p, "articles", 0) + p.main
+        if p.parent:
+            p.parent.words += p.words
+            p.parent.articles = getattr(p.parent, "articles", 0) + p.articles
+    articles = sum(p.main for p in places)
+    plain = 0  # words in parts with a name of main text that nothing marks
+    for p in places:
+        up = p.parent
+        p.marked = not p.main and (p.hard or p.soft or bool(up and up.marked))
+        p.told = p.named or bool(up and up.told)
+        if p.named and not p.marked and not (up and up.told):
+            plain += p.words
+    for p in places:
+        up = p.parent
+        alone = articles == p.articles  # no article or main element elsewhere
+        hard, soft = (up.is_hard, up.is_soft) if up else (False, False)
+        if p.main or (p.named and alone and p.words >= plain):
+            soft = False
+        p.is_hard = not p.main and (hard or p.hard)
+        p.is_soft = soft or (p.soft and not (alone and 2 * p.words > count))
+        p.outside = p.is_hard or p.is_soft
+
+
+def _after(html: str, at: int, name: str, opened: Counter) -> int:
+    """Where an element without raw text that begins before ``at`` ends: after its end tag, or, if it
+    has none, before that of an element around it (``opened``)."""
+    within, inner = [name], Counter([name])
+    while True:
+        start = html.find("<", at)
+        if start < 0:
+            return len(html)
+        if html.startswith("<!--", start):
+            stop = html.find("-->", start + 4)
+            at = len(html) if stop < 0 else stop + 3
+            continue
+        match = _TAG.match(html, start) or _LOOSE_TAG.match(html, start)
+        if not match:
+            at = start + 1
+            continue
+        at, tag = match.end(), match[1].lower()
+        if html[start + 1] != "/":
+            if match[2].endswith("/") or tag in _VOID:
+                continue
+            if tag in _RAW:
+                close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
+                at = close.end() if close else len(html)
+                continue
+            within.append(tag)
+            inner[tag] += 1
+        elif inner[tag]:
+            while (last := within.pop()) != tag:
+                inner[last] -= 1
+            inner[tag] -= 1
+            if not within:
+                return at
+        elif opened[tag]:
+            return start
 
 
 def segment(html: str) -> list[tuple[str, int, bool, bool, bool, bool]]:
     """Text blocks in page order: text, words in links, outside, inside, heading, paragraph."""
     blocks, pieces = [], []
-    places: list[tuple[str, bool, bool]] = []  # name, outside, article; nearest last
+    places: list[_Place] = []  # all, in page order
+    place = None  # the nearest
+    standing = Counter()  # names of places around
+    around, opened = [], Counter()  # names of all elements around
     state = {"links": 0, "kind": "", "in_link": False}
 
     def flush() -> None:
         text = " ".join("".join(pieces).split())
         if text:
-            inside = any(p[2] for p in places)
-            outside = False
-            for _, out, article in reversed(places):
-                if article:
-                    break  # what surrounds an article does not speak against it
-                outside = outside or out
-            blocks.append((text, state["links"], outside, inside,
-                           state["kind"] in _HEADINGS, state["kind"] == "p"))
+            blocks.append((text, state["links"], place, state["kind"] in _HEADINGS,
+                           state["kind"] == "p"))
+            if place:
+                place.words += max(0, len(text.split()) - state["links"])
         pieces.clear()
         state["links"] = 0
 
@@ -182,10 +259,19 @@ def segment(html: str) -> list[tuple[str, int, bool, bool, bool, bool]]:
         at, name, attributes = match.end(), match[1].lower(), match[2]
         closing = html[start + 1] == "/"
         if name in _SKIPPED and not closing:
-            if not attributes.endswith("/"):
+            if not attributes.endswith("/") and name not in _RAW:
+                at = _after(html, at, name, opened)
+            elif not attributes.endswith("/"):
                 close = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
                 at = close.end() if close else end
             continue
+        if not closing and name not in _VOID and not attributes.endswith("/"):
+            around.append(name)
+            opened[name] += 1
+        elif closing and opened[name]:
+            while (last := around.pop()) != name:
+                opened[last] -= 1
+            opened[name] -= 1
         if name == "a":
             state["in_link"] = not closing
             continue
@@ -198,12 +284,19 @@ def segment(html: str) -> list[tuple[str, int, bool, bool, bool, bool]]:
         if name not in _PLACES or name in _VOID:
             continue
         if not closing:
-            places.append((name, *_marks(name, attributes, any(p[2] for p in places))))
-        elif any(p[0] == name for p in places):
-            while places.pop()[0] != name:
-                pass
+            place = _Place(name, place, attributes)
+            places.append(place)
+            standing[name] += 1
+        elif standing[name]:
+            while place.name != name:
+                standing[place.name] -= 1
+                place = place.parent
+            standing[name] -= 1
+            place = place.parent
     flush()
-    return blocks
+    _outside(places, sum(max(0, len(b[0].split()) - b[1]) for b in blocks))
+    return [(text, links, bool(p and p.outside), bool(p and p.article), heading, paragraph)
+            for text, links, p, heading, paragraph in blocks]
 
 
 def main_text(html: str | None) -> str:
