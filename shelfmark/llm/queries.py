@@ -6,7 +6,9 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, blocks, cotrain, mixing, nearvec, ngramjoin, postings, shards, tokencount, toxicity
+from . import (bpe, blocks, cotrain, mixing, nearvec, ngramjoin, postings, repair, shards, tokencount,
+               toxicity)
+from ..scratch import settle
 
 GOOD = 0.5      # least quality score of a document that is kept
 TOXIC = 0.7     # score from which a document counts as toxic
@@ -90,10 +92,21 @@ def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = settle(repair.damage(_table(spark, sf_dir, "conversations")))
+    plan = repair.plans(damaged)
+    same = F.col("p.conv_id").eqNullSafe(F.col("d.conv_id"))
+    hashed = repair.digests(repair.repaired(damaged, plan))
+    return plan.alias("p").join(hashed.alias("d"), same, "left").select(
+        "p.conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256))
+        .alias("repaired_sha256"))
+
+
 def functions() -> dict:
     names = [op1_byte_bpe, op2_token_counts, op3_posting_lists, op4_quality, op5_byte_shards,
              op6_graph_near_duplicates, op7_weighted_mix, op8_ngram_join, op9_toxicity,
-             op10_page_text]
+             op10_page_text, op11_conversation_repair]
     return {f.__name__: f for f in names}
 
 
