@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (bpe, blocks, cotrain, mixing, nearvec, ngramjoin, postings, repair, shards, tokencount,
-               toxicity)
+               toxicity, trie)
 from ..scratch import settle
 
 GOOD = 0.5      # least quality score of a document that is kept
@@ -103,10 +103,18 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("repaired_sha256"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rebuilt = trie.with_shared_beginnings(
+        settle(trie.numbered(_table(spark, sf_dir, "conversations"))))
+    return trie.build(rebuilt).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        "ends_sha256")
+
+
 def functions() -> dict:
     names = [op1_byte_bpe, op2_token_counts, op3_posting_lists, op4_quality, op5_byte_shards,
              op6_graph_near_duplicates, op7_weighted_mix, op8_ngram_join, op9_toxicity,
-             op10_page_text, op11_conversation_repair]
+             op10_page_text, op11_conversation_repair, op12_conversation_trie]
     return {f.__name__: f for f in names}
 
 
