@@ -6,8 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import (bpe, blocks, cotrain, mixing, nearvec, ngramjoin, postings, repair, shards, tokencount,
-               toxicity, trie)
+from . import (bpe, blocks, cotrain, mixing, nearvec, ngramjoin, postings, repair, secretscan, shards,
+               tokencount, toxicity, trie)
 from ..scratch import settle
 
 GOOD = 0.5      # least quality score of a document that is kept
@@ -111,10 +111,19 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ends_sha256")
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secretscan.scan(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *[secretscan.count_of("base", k).alias(f"n_{k}") for k in secretscan.KINDS[:3]],
+        F.sha2(secretscan.listed("base").cast("binary"), 256).alias("base_sha256"),
+        secretscan.listed("spans").alias("spans"))
+
+
 def functions() -> dict:
     names = [op1_byte_bpe, op2_token_counts, op3_posting_lists, op4_quality, op5_byte_shards,
              op6_graph_near_duplicates, op7_weighted_mix, op8_ngram_join, op9_toxicity,
-             op10_page_text, op11_conversation_repair, op12_conversation_trie]
+             op10_page_text, op11_conversation_repair, op12_conversation_trie,
+             op13_secret_scan]
     return {f.__name__: f for f in names}
 
 
