@@ -1,4 +1,4 @@
-"""Incremental runs: resume, cross-run deduplication, upserts, retries and counters.
+"""Incremental runs: resume, upserts, retries and counters (``seen`` deduplicates across runs).
 
 Every run uses ``trigger(availableNow=True)``: it takes what is new and ends. What was taken is
 in the checkpoint folder, so a run that is broken off is repeated from there. Per-batch output
@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import (Column, DataFrame, Observation, SparkSession, functions as F,
+                         types as T)
 
 from .. import values
 from ..operators import dedup
@@ -40,21 +41,8 @@ def append_new(stream: DataFrame, out: str, checkpoint: str) -> None:
                checkpoint)
 
 
-def append_unseen(stream: DataFrame, keys: Sequence[str], out: str, checkpoint: str,
-                  event_time: str | None = None, delay: str | None = None) -> None:
-    """Append the first row of every key, also across runs.
-
-    The keys seen live in the state store. With an event time and a delay, keys older than the
-    watermark are forgotten, which bounds the state.
-    """
-    if event_time and delay:
-        unseen = stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
-    else:
-        unseen = stream.dropDuplicates(list(keys))
-    append_new(unseen, out, checkpoint)
-
-
-def _batches(spark: SparkSession, folder: str) -> DataFrame | None:
+def batches_of(spark: SparkSession, folder: str) -> DataFrame | None:
+    """What is written below a folder; None before the first write."""
     try:
         return spark.read.option("basePath", folder).parquet(folder)
     except AnalysisException as error:
@@ -100,7 +88,7 @@ def counters(stream: DataFrame, out: str, checkpoint: str, day: Column,
     def write(rows: DataFrame, batch: int) -> None:
         spark = rows.sparkSession
         numbered = number_rows(rows.withColumn("day", day), order, ["day"], "_n")
-        earlier = _batches(spark, ledger)
+        earlier = batches_of(spark, ledger)
         if earlier is not None:
             used = earlier.filter(F.col("batch") < batch).groupBy("day").agg(
                 F.sum("n").alias("_used"))
@@ -118,25 +106,31 @@ def counters(stream: DataFrame, out: str, checkpoint: str, day: Column,
     run_to_end(stream.writeStream.foreachBatch(write), checkpoint)
 
 
-def until_quiet(spark: SparkSession, rounds: Callable[[int], DataFrame], keys: Sequence[str],
-                order: Sequence[Column], out: str, max_rounds: int,
-                max_quiet: int = values.MAX_QUIET_ROUNDS) -> int:
-    """Run rounds until ``max_quiet`` in a row bring no new key; the number of rounds run.
+def until_quiet(spark: SparkSession, rounds: Callable[[int], DataFrame | None], keys: Sequence[str],
+                order: Sequence[Column], out: str,
+                max_quiet: int | None = values.MAX_QUIET_ROUNDS) -> int:
+    """Run rounds 0, 1, ... and return their number.
 
-    Every round writes its unseen rows, the first per key in ``order``, and one metrics row.
+    A crawl without an end stops after ``max_quiet`` rounds in a row that bring no new key. Input
+    that has an end says so by giving None for a round; with ``max_quiet`` None all of it is read.
+    Every round writes its unseen rows, the first per key in ``order``, and one metrics row; the
+    rows are counted while they are written.
     """
-    quiet = 0
-    for number in range(max_rounds):
-        rows = dedup.first_wins(rounds(number), list(keys), order)
-        seen = _batches(spark, f"{out}/rows")
+    number = quiet = 0
+    while (given := rounds(number)) is not None:
+        rows = dedup.first_wins(given, list(keys), order)
+        seen = batches_of(spark, f"{out}/rows")
         # One row per key on either side, so this anti join has no heavy key.
         fresh = rows if seen is None else rows.join(
             seen.filter(F.col("batch") < number).select(*keys), list(keys), "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{out}/rows/batch={number}")
-        added = spark.read.parquet(f"{out}/rows/batch={number}").count()
+        counted = Observation()
+        fresh.observe(counted, F.count(F.lit(1)).alias("added")).write.mode("overwrite").parquet(
+            f"{out}/rows/batch={number}")
+        added = counted.get["added"]
         spark.createDataFrame([(number, added)], "round bigint, added bigint").write.mode(
             "overwrite").parquet(f"{out}/metrics/batch={number}")
+        number += 1
         quiet = quiet + 1 if added == 0 else 0
-        if quiet >= max_quiet:
-            return number + 1
-    return max_rounds
+        if max_quiet is not None and quiet >= max_quiet:
+            break
+    return number

@@ -211,7 +211,7 @@ def test_rounds_stop_when_quiet(spark):
     folder = scratch.fresh(spark, "test")
     data = [[("a", 1)], [("a", 2), ("b", 1)], [("b", 5)], [("a", 7)], [("c", 1)]]
     frames = [spark.createDataFrame(d, "k string, n int") for d in data]
-    taken = incremental.until_quiet(spark, lambda i: frames[i], ["k"], [F.col("n")], folder, 5, 2)
+    taken = incremental.until_quiet(spark, lambda i: frames[i], ["k"], [F.col("n")], folder, 2)
     assert taken == 4
     assert rows(spark.read.parquet(f"{folder}/rows"), "k", "n") == [("a", 1), ("b", 1)]
     assert rows(spark.read.parquet(f"{folder}/metrics"), "round", "added") == [(0, 1), (1, 1), (2, 0), (3, 0)]
