@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -28,6 +28,35 @@ def squeeze(c: Column) -> Column:
     return F.nullif(F.trim(F.regexp_replace(c, _BLANKS, " ")), F.lit(""))
 
 
+_NUMBERED = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+
+
+def _numbered_character(reference: Column) -> Column:
+    digits = F.regexp_extract(reference, "([0-9a-fA-F]+);", 1)
+    code = F.when(F.lower(reference).contains("x"), F.conv(digits, 16, 10)).otherwise(
+        digits).cast("bigint")
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    return (F.when(code == 38, "&amp;")     # resolved with the named ones, and once only
+            .when(valid, F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(F.lit(63))), 8, "0")),
+                                  "UTF-32")).otherwise("\ufffd"))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def unescaped(c: Column) -> Column:
+    """Numbered and the common named character references resolved."""
+    def resolved(raw: Column) -> Column:
+        done = F.aggregate(F.array_distinct(F.regexp_extract_all(raw, F.lit(_NUMBERED), F.lit(0))), raw,
+                           lambda held, ref: F.replace(held, ref, _numbered_character(ref)))
+        for name, character in values.ENTITIES:
+            done = F.replace(done, F.lit(f"&{name};"), F.lit(character))
+        return F.when(raw.contains("&"), done).otherwise(raw)
+    return let(c, resolved)
+
+
 def nulls_for_blanks(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Null for blank text in every string column, or in those named; other text is kept."""
     strings = {n for n, t in df.dtypes if t == "string"}

@@ -32,6 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Narrow rows of a table in one small file, dealt to all cores before pages are made of them."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def _load() -> None:
     for module in _MODULES:
         import_module(f"{__name__}.{module}")

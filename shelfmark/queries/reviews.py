@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import query, table
+from . import query, spread, table
 from ..functions import dates, names, text, urls
 from ..operators import dedup
 from ..plans import inactive, runs
-from ..sources import dom
+from ..sources import page_blocks
 
 CUTOFF = "2001-03-01"
 
@@ -97,9 +97,9 @@ def review_blocks(spark, sf_dir):
         F.lit(" on "), F.date_format("o_orderdate", "MMMM d, yyyy"),
         F.lit('</p><span class="stars-svg"><span class="screen-reader-only"> 4 out of 5 stars'
               '</span></span></li><li data-region="review"><p>empty</p></li></ul>'))
-    pages = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("page_id"),
-                                                  html.alias("html"))
-    found = dom.extract(pages, dom.reviews)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    pages = spread(orders).select(F.col("o_orderkey").alias("page_id"), html.alias("html"))
+    found = page_blocks.reviews(pages)
     return found.select(
         "page_id", "place", "name", dates.day_text(F.col("date_text")).alias("review_date"),
         text.leading_digit(F.col("rating_text")).alias("rating"),

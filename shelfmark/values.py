@@ -226,3 +226,15 @@ URL_MARK = "**Etsy URL:**"
 ID_MARK = "**Listing ID:**"
 STATUS_MARK = "**Status:**"
 HIDDEN_STATUS = "Unavailable"
+
+# Named character references of HTML; the ampersand comes last.
+ENTITIES = [
+    ("nbsp", "\u00a0"), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("copy", "\u00a9"),
+    ("reg", "\u00ae"), ("trade", "\u2122"), ("deg", "\u00b0"), ("times", "\u00d7"),
+    ("middot", "\u00b7"), ("bull", "\u2022"), ("ndash", "\u2013"), ("mdash", "\u2014"),
+    ("lsquo", "\u2018"), ("rsquo", "\u2019"), ("ldquo", "\u201c"), ("rdquo", "\u201d"),
+    ("hellip", "\u2026"), ("euro", "\u20ac"), ("pound", "\u00a3"), ("amp", "&"),
+]
+
+# Fixed value: the longest text of a list item that counts as a tag on a page without a tag list.
+LONGEST_BARE_TAG = 50

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F, types as T
 
 from shelfmark import scratch
 from shelfmark.functions import dates, text, urls
-from shelfmark.sources import api_pages, checks, dom, files, jobs, sinks
+from shelfmark.sources import api_pages, checks, files, jobs, markup, page_blocks, sinks
 
 BOM = "﻿"
 
@@ -237,7 +237,7 @@ REVIEWS = """<ul>
 
 def test_review_blocks(spark):
     pages = spark.createDataFrame([(1, REVIEWS), (2, "<p>none"), (3, None)], "page_id int, html string")
-    found = dom.extract(pages, dom.reviews)
+    found = page_blocks.reviews(pages)
     got = found.select("page_id", "name", dates.day_text(F.col("date_text")).alias("day"),
                        text.leading_digit(F.col("rating_text")).alias("stars"),
                        urls.clean(F.col("item_href"), "https://h").alias("url"), "item_name")
@@ -250,11 +250,12 @@ def test_review_blocks(spark):
     ('<ul role="list"><li x-data="{ copied: 1 }"><div class="ml-3.5 x">Mug</div></li>'
      '<li x-data="{ copied: 1 }"><span><div>no</div><div>Cup</div></span></li></ul>', ["Mug", "Cup"]),
     ('<li x-data="copied">Tea</li><li x-data="copied">' + "x" * 51 + "</li>", ["Tea"]), ("", [])])
-def test_tag_texts(html, want):
-    assert dom.tag_texts(html, "")[0]["items"] == want
+def test_tag_texts(spark, html, want):
+    pages = spark.createDataFrame([(1, html)], "page_id int, html string")
+    assert page_blocks.tag_lists(pages).first()["items"] == want
 
 
-def test_job_detail_rules():
+def test_job_detail_rules(spark):
     html = """<div class="job-detail__info--title">T</div>
     <div class="job-detail__info--section"><b class="job-detail__info--section-content-title">
       mức lương</b> 10 </div>
@@ -263,7 +264,10 @@ def test_job_detail_rules():
     <div class="job-description"><div class="job-description__item"><h3>Thời gian làm việc</h3>
       <div class="job-description__item--content"><ul><li>Mon</li><li> </li><li>Tue</li></ul></div>
     </div></div><a href="/cong-ty/x">c</a>"""
-    row = dom.job_detail(html, "https://j")[0]
+    pages = spark.createDataFrame([("u", html), ("v", None)], "url string, html string")
+    found = {r["url"]: r for r in page_blocks.job_details(pages, "https://j").collect()}
+    row = found["u"]
+    assert set(found["v"].asDict().values()) == {"v", None}
     assert (row["detail_title"], row["detail_salary"], row["deadline"], row["working_times"],
             row["company_url_from_job"], row["tags"], row["desc_mota"]) == (
         "T", "mức lương 10", "Hạn nộp: later", "Mon; Tue", "https://j/cong-ty/x", None, None)
