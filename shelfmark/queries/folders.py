@@ -7,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 from . import query, table
 from .. import scratch
 from ..operators import enrich
-from ..sources import files, sinks
+from ..sources import files, quoted, sinks
 
 _IMAGE = r"https://img\.example/\S+?full\.\S+?\.jpg"
 
@@ -64,7 +64,7 @@ def multiline_csv(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", F.when(F.col("doc_id") % 7 > 0, F.col("lang")).alias("lang"), "text")
     sinks.write_csv(docs, folder)
-    return files.read_csv(spark, folder, ["doc_id", "lang", "text"], multiline=True).select(
+    return quoted.read_quoted_csv(spark, folder, ["doc_id", "lang", "text"]).select(
         "doc_id", "lang", "text")
 
 
