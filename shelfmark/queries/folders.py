@@ -7,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 from . import query, table
 from .. import scratch
 from ..operators import enrich
-from ..sources import files, quoted, sinks
+from ..sources import checks, files, quoted, sinks
 
 _IMAGE = r"https://img\.example/\S+?full\.\S+?\.jpg"
 
@@ -193,3 +193,32 @@ def written_by_shop(spark, sf_dir):
         T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField(
             "c_name", T.StringType()), T.StructField("shop_name", T.IntegerType())])
     ).parquet(folder)
+
+
+@query("relational_append", """
+SELECT o_orderkey, o_totalprice, o_orderkey % 3 AS chunk_no FROM orders""")
+def relational_append(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_totalprice", "o_orderkey")
+    path = scratch.fresh(spark, "loaded")
+    name = "loaded_" + path.rsplit("-", 1)[1]
+    sinks.start_table(orders.select("o_orderkey", "o_totalprice"), name, path)
+    for chunk in (0, 1, 1, 2):      # the load of chunk 1 is taken for failed and comes twice
+        sinks.append_chunk(orders.where(F.col("o_orderkey") % 3 == chunk), name, chunk)
+    loaded = spark.table(name).select("o_orderkey", "o_totalprice", sinks.CHUNK)
+    spark.sql(f"DROP TABLE {name}")    # the files stay at the path
+    return spark.read.schema(loaded.schema).parquet(path)
+
+
+@query("column_aliases", """
+SELECT c_custkey AS id, c_name AS title FROM customer
+UNION ALL SELECT s_suppkey, s_name FROM supplier""")
+def column_aliases(spark, sf_dir):
+    named = {"customer": {"c_custkey": "Listing_ID", "c_name": "product"},
+             "supplier": {"s_suppkey": "listing_id", "s_name": "Product Name"}}
+    frames = [table(spark, sf_dir, t).select(*[F.col(c).alias(a) for c, a in names.items()])
+              for t, names in named.items()]
+    found = [frame.select(
+        F.col(checks.column_ignoring_case(frame, "listing_id")).alias("id"),
+        F.col(f"`{checks.first_present(frame, ['title', 'Product Name', 'product'], True)}`").alias("title"))
+        for frame in frames]
+    return found[0].unionByName(found[1])

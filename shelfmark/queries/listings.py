@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from . import query, table
 from ..functions import labels, metrics, text
-from ..operators import aggregates, ranking
+from ..operators import aggregates, containment, ranking
 from ..operators.ordered import number_rows
 from ..plans import runs
 from ..sources import api_pages, checks
@@ -157,6 +157,35 @@ def taxonomy_label(spark, sf_dir):
                                     .alias("niche"))
 
 
+# Words of the benchmark passages as a keyword table, thousands of them: a passage is a label, and
+# every second one stands below the passage before it.
+_TABLE_SQL = r"""
+words AS (SELECT item_id, unnest(list_distinct(regexp_extract_all(lower(text), '[a-zà-ÿ]+'))) AS keyword
+          FROM benchmark),
+tax AS (SELECT item_id AS ord, 'p' || item_id AS label, keyword,
+               CASE WHEN item_id % 2 = 1 THEN 'p' || (item_id - 1) END AS parent
+        FROM words WHERE length(keyword) >= 2 AND length(keyword) % 3 = 0),
+texts AS (SELECT doc_id, lower(text) AS lowered FROM documents),
+found AS (SELECT doc_id, keyword FROM texts JOIN (SELECT DISTINCT keyword FROM tax) k
+          ON contains(lowered, keyword)),
+hit AS (SELECT DISTINCT doc_id, ord, label, parent FROM found JOIN tax USING (keyword)),
+top AS (SELECT t.doc_id, arg_min(label, ord) AS niche FROM texts t LEFT JOIN hit h
+        ON h.doc_id = t.doc_id AND parent IS NULL GROUP BY t.doc_id)
+SELECT top.doc_id, any_value(niche) AS niche, arg_min(label, ord) AS sub_niche
+FROM top LEFT JOIN hit h ON h.doc_id = top.doc_id AND h.parent = top.niche GROUP BY top.doc_id"""
+
+
+@query("taxonomy_table", "WITH " + _TABLE_SQL)
+def taxonomy_table(spark, sf_dir):
+    words = table(spark, sf_dir, "benchmark").select("item_id", F.explode(F.array_distinct(
+        F.regexp_extract_all(F.lower("text"), F.lit("[a-zà-ÿ]+"), F.lit(0)))).alias("keyword"))
+    taxonomy = words.where((F.length("keyword") >= 2) & (F.length("keyword") % 3 == 0)).select(
+        F.col("item_id").alias("ord"), F.concat(F.lit("p"), "item_id").alias("label"), "keyword",
+        F.when(F.col("item_id") % 2 == 1, F.concat(F.lit("p"), F.col("item_id") - 1)).alias("parent"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return containment.table_labels(docs, "doc_id", "text", taxonomy)
+
+
 @query("taxonomy_sublabel", f"""
 WITH n AS (SELECT *, {_NICHE_SQL.format('p_name')} AS niche FROM part)
 SELECT p_partkey, niche, {_SUB_SQL.format('p_name', 'niche')} AS sub_niche FROM n""")

@@ -7,6 +7,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import text, urls
 
 
+CHUNK = "chunk_no"
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header; null is written as empty text."""
     (text.blanks_for_nulls(df).write.mode("overwrite").option("header", True)
@@ -39,6 +42,22 @@ def append_table(df: DataFrame, table: str) -> None:
     df.write.mode("append").format("parquet").saveAsTable(table)
 
 
+def start_table(like: DataFrame, table: str, path: str | None = None) -> None:
+    """An empty catalogue table for numbered chunks with the columns of ``like``; an older one goes."""
+    writer = (like.limit(0).withColumn(CHUNK, F.lit(0).cast("bigint")).write.mode("overwrite")
+              .format("parquet").partitionBy(CHUNK))
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
+def append_chunk(df: DataFrame, table: str, chunk: int) -> None:
+    """Append the rows of one chunk. A chunk that is appended again, after a failure or by mistake,
+    replaces itself: only the partition of its number is overwritten."""
+    spark = df.sparkSession
+    columns = [c for c in spark.table(table).columns if c != CHUNK]
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({CHUNK} = {int(chunk)}) "
+              "SELECT * FROM {rows}", rows=df.select(*columns))
+
+
 def append_jdbc(df: DataFrame, url: str, table: str, replace: bool = False,
                 **properties: str) -> None:
     """Rows into a relational table through a JDBC driver on the class path."""
