@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import values
-from .ordered import running_sum
+from .ordered import number_rows, running_sum
 from .skew import lookup
 
 
@@ -66,9 +66,14 @@ def groups_in_order(df: DataFrame, key: str, seq: str) -> DataFrame:
     return df.groupBy(key).agg(F.min(seq).alias("first_at"), F.count(F.lit(1)).alias("n"))
 
 
+def items_in_order(df: DataFrame, key: str, item: str, order: Sequence[Column]) -> DataFrame:
+    """All items of every key as rows (key, item, position from 1): a list of any length."""
+    return number_rows(df, order, [key], "position").select(key, item, "position")
+
+
 def first_items(df: DataFrame, key: str, item: str, order: Sequence[Column],
-                most: int = values.MAX_LISTING_IMAGES) -> DataFrame:
-    """Array of the first ``most`` items per key, in order.
+                most: int) -> DataFrame:
+    """Array of the first ``most`` items per key, in order; ``items_in_order`` has all of them.
 
     The rank limit works below the shuffle, so a key never sends more than ``most`` rows per
     task, and the arrays are small by construction.

@@ -3,60 +3,41 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import values
 from .ordered import number_rows
 
-_GROUPS = 256
-_LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 
-
-def top_k(df: DataFrame, order: Sequence[Column], k: int, by: Sequence[str] = ()) -> DataFrame:
-    """The first ``k`` rows per ``by``, with their rank, in two steps.
-
-    Step one keeps the best k of each of 256 row groups, in parallel; step two ranks the at most
-    256 k rows left. The row groups only split the work: the result does not depend on them.
-    Every task cuts its rows to k before the shuffle; Spark does so up to a limit set in the
-    session, which is raised here when k is larger.
-    """
-    conf = df.sparkSession.conf
-    if int(conf.get(_LIMIT_SETTING, "1000")) < k:
-        conf.set(_LIMIT_SETTING, str(k))
-    group = F.pmod(F.spark_partition_id(), F.lit(_GROUPS))
-    near = Window.partitionBy(*by, "_group").orderBy(*order)
-    survivors = (
-        df.withColumn("_group", group).withColumn("_near", F.row_number().over(near))
-        .filter(F.col("_near") <= k).drop("_near", "_group"))
-    final = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy(*order)
-    return survivors.withColumn("rank", F.row_number().over(final)).filter(F.col("rank") <= k)
+def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
+    """The first ``k`` rows with their rank. Every task cuts its rows to k before they meet."""
+    whole = Window.partitionBy(F.lit(0)).orderBy(*order)    # over the k rows that are left
+    return df.orderBy(*order).limit(k).withColumn("rank", F.row_number().over(whole))
 
 
 def union_of_rankings(df: DataFrame, key: str, rankings: Sequence[tuple[str, str]],
-                      per_ranking: int = values.API_PAGE_ROWS * values.API_MAX_PAGES,
-                      page_rows: int = values.API_PAGE_ROWS,
+                      per_ranking: int, page_rows: int = values.API_PAGE_ROWS,
                       max_rows: int | None = None) -> DataFrame:
-    """Distinct keys reached by walking several rankings one after the other.
+    """Distinct keys reached by walking the first ``per_ranking`` rows of several rankings one after
+    the other.
 
     Returns ``key``, ``ranking`` (0-based, where it was first met) and ``rank``. With
     ``max_rows`` the walk ends at the first page boundary where that many keys are known, so the
     last page read may go beyond it. Repeated rankings add nothing and are read once.
     """
-    entries = []
     first_use: dict[tuple[str, str], int] = {}
-    for number, (column, direction) in enumerate(rankings):
-        if (column, direction) in first_use:
-            continue
-        first_use[column, direction] = number
+    for number, ranking in enumerate(rankings):
+        first_use.setdefault(ranking, number)
+    # One narrow scan per ranking; each cuts to its first rows by itself.
+    walked = []
+    for (column, direction), number in first_use.items():
         value = F.col(column).cast("double")
-        entries.append(F.struct(F.lit(number).alias("ranking"),
-                                (value if direction == "desc" else -value).alias("score")))
-    # One scan feeds all rankings.
-    scored = df.select(key, F.explode(F.array(*entries)).alias("_e")).select(
-        key, "_e.ranking", "_e.score")
-    ranked = top_k(scored, [F.col("score").desc_nulls_last(), F.col(key)], per_ranking,
-                   by=["ranking"])
+        scored = df.select(key, (value if direction == "desc" else -value).alias("score"))
+        walked.append(top_k(scored, [F.col("score").desc_nulls_last(), F.col(key)], per_ranking)
+                      .select(key, F.lit(number).alias("ranking"), "rank"))
+    ranked = reduce(DataFrame.unionByName, walked)
     met = ranked.groupBy(key).agg(F.min(F.struct("ranking", "rank")).alias("_met")).select(
         key, "_met.ranking", "_met.rank")
     if max_rows is None:

@@ -141,8 +141,8 @@ def pose_plan(arts: DataFrame, mockups: Sequence[str], configs: Mapping[str, Map
     return keyed.filter(F.col("config").isNotNull())
 
 
-def outputs_by_listing(files: DataFrame, source: DataFrame, shop: str) -> DataFrame:
-    """Produced mock-up files grouped under their listing, source order first.
+def outputs_by_listing(files: DataFrame, source: DataFrame, shop: str, most: int) -> DataFrame:
+    """The first ``most`` mock-up files grouped under their listing, source order first.
 
     files: path. source: listing_id, title, tags, pos; the last row of an id gives title and
     tags, the first its place. ``place`` is null for ids the source does not know.
@@ -153,7 +153,7 @@ def outputs_by_listing(files: DataFrame, source: DataFrame, shop: str) -> DataFr
             ".png", ".jpg", ".jpeg")).select(
         urls.leading_id(stem).alias("listing_id"), "path").filter(
         F.col("listing_id").isNotNull())
-    grouped = first_items(singles, "listing_id", "path", [F.col("path")])
+    grouped = first_items(singles, "listing_id", "path", [F.col("path")], most)
     meta = source.groupBy("listing_id").agg(
         F.min("pos").alias("place"), F.max_by("title", "pos").alias("title"),
         F.max_by("tags", "pos").alias("tags"))

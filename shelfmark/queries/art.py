@@ -8,6 +8,7 @@ from . import query, table
 from ..functions import artwork, urls
 from ..plans import artwork as plans
 from ..sources.sinks import image_files
+from ..values import MAX_LISTING_IMAGES
 
 # Sample placement configs in the shape of a placement file.
 CONFIGS = {
@@ -196,7 +197,7 @@ def outputs_to_listings(spark, sf_dir):
     source = table(spark, sf_dir, "part").filter("p_partkey % 3 > 0").select(
         F.col("p_partkey").cast("string").alias("listing_id"), F.col("p_name").alias("title"),
         F.col("p_type").alias("tags"), (5000 - F.col("p_partkey")).alias("pos"))
-    found = plans.outputs_by_listing(files.distinct(), source, "Mock-ups")
+    found = plans.outputs_by_listing(files.distinct(), source, "Mock-ups", MAX_LISTING_IMAGES)
     return found.select("shop_name", "listing_id", "title", "tags",
                         F.array_join("items", ",").alias("images"), "place")
 

@@ -80,6 +80,22 @@ def csv_any_encoding(spark, sf_dir):
                                        delimiter=";").select("p_partkey", "name")
 
 
+@query("csv_mixed_encodings", """
+SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, CASE p_partkey % 3
+  WHEN 0 THEN p_name || ' naïve €' WHEN 1 THEN p_name || ' café €' ELSE p_name || ' é' || chr(129) END
+  AS name FROM part""")
+def csv_mixed_encodings(spark, sf_dir):
+    folder = scratch.fresh(spark, "mixed")
+    # Bytes 80 and 81 are written through Latin-1: the first is a sign in cp1252, the second is not.
+    for rest, (encoding, tail) in enumerate([("utf-8", " naïve €"), ("iso-8859-1", " café \x80"),
+                                             ("iso-8859-1", " é\x81")]):
+        rows = table(spark, sf_dir, "part").where(F.col("p_partkey") % 3 == rest).select(
+            "p_partkey", F.concat("p_name", F.lit(tail)).alias("name"))
+        rows.write.option("header", True).option("encoding", encoding).csv(f"{folder}/{rest}")
+    return files.read_csv_any_encoding(spark, f"{folder}/*/*.csv", ["p_partkey", "name"]).select(
+        "p_partkey", "name")
+
+
 @query("csv_drifted_union", """
 SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS segment,
        CAST(NULL AS VARCHAR) AS nation FROM customer

@@ -10,7 +10,7 @@ from ..operators import aggregates, containment, ranking
 from ..operators.ordered import number_rows
 from ..plans import runs
 from ..sources import api_pages, checks
-from ..values import RANKINGS
+from ..values import MAX_LISTING_IMAGES, RANKINGS
 
 # Sample taxonomy over the words that part names use.
 NICHES = {"bolts": ["bolt", "screw"], "rings": ["RING"], "widgets": ["widget"], "empty": []}
@@ -325,10 +325,20 @@ def first_twenty_items(spark, sf_dir):
         "l_suppkey", F.col("l_partkey").cast("string").alias("part"), "l_shipdate", "l_orderkey",
         "l_linenumber", "l_partkey")
     order = [F.col(c) for c in ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")]
-    found = aggregates.first_items(rows, "l_suppkey", "part", order)
+    found = aggregates.first_items(rows, "l_suppkey", "part", order, MAX_LISTING_IMAGES)
     return found.select("l_suppkey", F.array_join("items", ",").alias("items"))
 
 
+@query("all_items_in_order", """
+SELECT l_suppkey, l_partkey, row_number() OVER (
+  PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey) AS position
+FROM lineitem""")
+def all_items_in_order(spark, sf_dir):
+    keys = ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")
+    rows = table(spark, sf_dir, "lineitem").select("l_suppkey", *keys)
+    return aggregates.items_in_order(rows, "l_suppkey", "l_partkey", [F.col(c) for c in keys])
+
+
 @query("listings_from_pages", """
 SELECT CAST(listing_id AS VARCHAR) AS listing_id, product, shop_name, total_views FROM (
   SELECT o_custkey AS listing_id, o_orderpriority AS product, o_orderstatus AS shop_name,

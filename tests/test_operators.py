@@ -224,7 +224,8 @@ def test_top_k_is_exact_above_the_usual_limit(spark):
     got = [r["id"] for r in ranking.top_k(frame, [F.col("id").desc()], 1500).orderBy("rank").collect()]
     assert got == list(range(19999, 18499, -1))
     plan = ranking.top_k(frame, [F.col("id").desc()], 1500)._jdf.queryExecution().toString()
-    assert "WindowGroupLimit" in plan
+    assert "GlobalLimit" in plan or "TakeOrdered" in plan
+    assert spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold") == "1000"
 
 
 def walk_by_hand(data, rankings, per_ranking, page_rows, max_rows):

@@ -156,7 +156,7 @@ def test_outputs_by_listing(spark):
                                    ("o/x_single.png",), ("o/3_single.gif",), ("o/4_a_single.png",)], "path string")
     source = spark.createDataFrame([("9", "old", "t", 1), ("9", "new", "u", 5)],
                                    "listing_id string, title string, tags string, pos int")
-    got = artwork.outputs_by_listing(files, source, "S").collect()
+    got = artwork.outputs_by_listing(files, source, "S", 20).collect()
     assert [(r["listing_id"], r["title"], r["items"]) for r in got] == [
         ("9", "new", ["o/9_a_single.jpg", "o/9_b_single.png"]), ("4", None, ["o/4_a_single.png"])]
 
