@@ -30,6 +30,11 @@ def tone(stem: Column) -> Column:
         "mid")
 
 
+def chosen_blend(auto: Column, configured: Column, tone_column: Column) -> Column:
+    """The blend mode of the tone; a config that switches this off (false) keeps its own."""
+    return F.when(F.coalesce(auto, F.lit(True)), blend_mode(tone_column)).otherwise(configured)
+
+
 def blend_mode(tone_column: Column, light: str = "multiply", mid: str = "multiply",
                dark: str = "screen") -> Column:
     return F.when(tone_column == "light", light).when(tone_column == "dark", dark).otherwise(mid)

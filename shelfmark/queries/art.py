@@ -56,6 +56,18 @@ def garment_tone(spark, sf_dir):
                                                artwork.blend_mode(tone).alias("blend"))
 
 
+@query("chosen_blend", """
+SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'overlay' WHEN p_partkey % 3 = 1 THEN 'screen'
+       ELSE 'multiply' END AS blend FROM part""")
+def chosen_blend(spark, sf_dir):
+    key = F.col("p_partkey")
+    stem = F.concat(key.cast("string"), F.when(key % 3 == 0, "-Cream_navy").when(
+        key % 3 == 1, "_wine").otherwise("_creamy"))
+    auto = F.when(key % 5 == 0, False).when(key % 5 == 1, True)     # else not said
+    return table(spark, sf_dir, "part").select("p_partkey", artwork.chosen_blend(
+        auto, F.lit("overlay"), artwork.tone(stem)).alias("blend"))
+
+
 @query("art_geometry", """
 WITH a AS (SELECT p_partkey, p_size * 40 AS w, (p_partkey % 50 + 1) * 30 AS h,
                   CASE p_partkey % 3 WHEN 0 THEN 'pose_A' WHEN 1 THEN 'pose_B' ELSE 'pose_AB' END AS k

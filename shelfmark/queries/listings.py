@@ -110,6 +110,33 @@ def search_api_pages(spark, sf_dir):
         "views_per_month", "mo_sales", "niche", "sub_niche")
 
 
+@query("api_record_variants", """
+SELECT CAST(p_partkey AS VARCHAR) AS listing_id,
+       CASE p_partkey % 4 WHEN 0 THEN 'a; ' || p_brand WHEN 1 THEN p_brand WHEN 2 THEN p_brand || '; b' END
+         AS tags,
+       CASE p_partkey % 4 WHEN 0 THEN 'small' || p_partkey WHEN 1 THEN 'full' || p_partkey
+         ELSE 'icon' || p_partkey END AS image_url
+FROM part""")
+def api_record_variants(spark, sf_dir):
+    """Two services: one sends typed arrays under a lower-case name, the other texts and lists as text."""
+    key = F.col("p_partkey").cast("string")
+    first = table(spark, sf_dir, "part").where(F.col("p_partkey") % 4 == 0).select(F.array(F.struct(
+        key.alias("listing_id"), F.array(F.lit(" a"), F.lit(""), F.col("p_brand")).alias("tags"),
+        F.array(F.struct(F.concat(F.lit("small"), key).alias("url_170x135"))).alias("images"),
+        F.concat(F.lit("icon"), key).alias("icon_url_fullxfull"))).alias("results"))
+    kind = F.col("p_partkey") % 4
+    second = table(spark, sf_dir, "part").where(kind != 0).select(F.array(F.struct(
+        key.alias("listing_id"),
+        F.when(kind == 1, F.col("p_brand")).when(kind == 2, F.to_json(F.array("p_brand", F.lit(" b "))))
+        .alias("tags"),
+        F.when(kind == 1, F.concat(F.lit('[{"url_fullxfull": "full'), key, F.lit('"}]')))
+        .when(kind == 2, "bare text").otherwise("[]").alias("Images"),
+        F.concat(F.lit("icon"), key).alias("icon_url_fullxfull"))).alias("results"))
+    found = [api_pages.search_listings(pages).select("listing_id", "tags", "image_url")
+             for pages in (first, second)]
+    return found[0].unionByName(found[1])
+
+
 def _shop_pages(spark, sf_dir):
     """One API page per order; only the first page of a customer carries shop details."""
     orders = table(spark, sf_dir, "orders")

@@ -162,7 +162,7 @@ def test_api_images_may_be_array_or_text(spark):
         ('[{"url_170x135":"s","url":"b"}]', None), ('[{"url_fullxfull":"f"}]', "i"), ('["p"]', None),
         ("[]", "i"), (None, "i"), ("https://x", "i")], "images string, icon string")
     got = [r[0] for r in frame.select(api_pages.image_of(F.col("images"), F.col("icon"))).collect()]
-    assert got == ["s", "f", "p", "i", "i", None]
+    assert got == ["s", "f", "p", "i", "i", "i"]    # a bare text is no list of images
 
 
 def test_api_pages_from_json(spark, tmp_path):
