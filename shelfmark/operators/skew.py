@@ -1,11 +1,12 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-A key is *hot* when it holds more than ``1 / HOT_SHARE`` of the rows. By counting, no table has
-more than ``HOT_SHARE`` hot keys, so broadcasting one lookup row per hot key is bounded whatever
-the table size. Hot and null-key rows are then salted, so the shuffle for the remaining keys
-sees no heavy partition; nothing is replicated for the salts. Adaptive skew splitting cannot do
-this for us when the lookup side is itself an aggregate, because it only splits plain shuffle
-stages.
+A key is *hot* when it holds more than ``1 / HOT_SHARE`` of the rows. By counting, no table has more
+than ``HOT_SHARE`` hot keys. A hot key is cut into salts in proportion to its share of the rows, its
+lookup row is repeated once per salt, and one join on (key, salt) does the rest; rows with a null
+key match nothing and are spread as well. All that is broadcast is the hash of each hot key and its
+number of salts, 12 bytes for at most ``HOT_SHARE`` keys: neither keys nor payload. The repeated rows
+are at most ``SPLITS`` per shuffle partition and one per hot key. Adaptive skew splitting cannot do this
+for us when the lookup side is itself an aggregate, because it only splits plain shuffle stages.
 """
 
 from __future__ import annotations
@@ -16,13 +17,22 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_SHARE = 10_000
+SPLITS = 4          # salts of a key that holds as many rows as an even shuffle partition
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys holding more than 1/HOT_SHARE of the rows: at most HOT_SHARE rows."""
-    counts = df.filter(~any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+def _hash(keys: Sequence[str], kinds: dict[str, str]) -> Column:
+    """Hash of the keys as values of ``kinds``; two keys of equal hash are salted alike, no more."""
+    return F.xxhash64(*[F.col(k).cast(kinds[k]) for k in keys])
+
+
+def hot_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(_hash, _salts) of keys holding more than 1/HOT_SHARE of the rows: at most HOT_SHARE rows."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.filter(~any_null(keys)).select(_hash(keys, dict(df.dtypes)).alias("_hash")).groupBy(
+        "_hash").agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n").alias("_total")).scalar()
-    return counts.filter(F.col("_n") * HOT_SHARE > total).select(*keys)
+    salts = F.ceil(F.col("_n") * (parts * SPLITS) / total).cast("bigint")
+    return counts.filter(F.col("_n") * HOT_SHARE > total).select("_hash", salts.alias("_salts"))
 
 
 def any_null(keys: Sequence[str]) -> Column:
@@ -54,27 +64,18 @@ def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str],
     if clash:
         raise ValueError(f"lookup columns already present: {sorted(clash)}")
 
-    hot = F.broadcast(hot_keys(left if counted_on is None else counted_on, keys))
-    hot_rows = (
-        hot.join(right.join(hot, keys, "left_semi"), keys, "left")
-        .select(*keys, F.struct(F.lit(True).alias("_hot"), *payload).alias("_hot_row"))
-    )
-    marked = left.join(F.broadcast(hot_rows), keys, "left")
-    is_hot = F.col("_hot_row").isNotNull()
-    marked = marked.withColumn("_salt", F.when(is_hot | any_null(keys), _spread(left)).otherwise(
-        F.lit(0).cast("bigint")))
-
-    # Always 0, but no literal: the optimizer would turn a literal into a filter on the left and
-    # shuffle by the keys alone, which puts a hot key into one task again.
-    zero = F.pmod(F.xxhash64(*keys), F.lit(1).cast("bigint"))
-    cold = right.select(*keys, zero.alias("_salt"),
-                        F.struct(F.lit(True).alias("_cold"), *payload).alias("_cold_row"))
-    joined = marked.join(cold, keys + ["_salt"], "left")
-    return joined.select(
-        *left.columns,
-        *[F.when(is_hot, F.col("_hot_row")[c]).otherwise(F.col("_cold_row")[c]).alias(c)
-          for c in payload],
-    )
+    hot = F.broadcast(hot_hashes(left if counted_on is None else counted_on, keys))
+    kinds = dict((left if counted_on is None else counted_on).dtypes)
+    salt = (F.when(F.col("_salts").isNotNull(), F.pmod(_spread(left), F.col("_salts")))
+            .when(any_null(keys), _spread(left)).otherwise(F.lit(0).cast("bigint")))
+    marked = left.withColumn("_hash", _hash(keys, kinds)).join(hot, "_hash", "left").withColumn(
+        "_salt", salt).drop("_hash", "_salts")
+    salts = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_salts", F.lit(1).cast("bigint")) - 1)
+    known = right.select(*keys, F.struct(F.lit(True).alias("_there"), *payload).alias("_row"),
+                         _hash(keys, kinds).alias("_hash")).join(hot, "_hash", "left").select(
+        *keys, "_row", F.explode(salts).alias("_salt"))
+    joined = marked.join(known, keys + ["_salt"], "left")
+    return joined.select(*left.columns, *[F.col("_row")[c].alias(c) for c in payload])
 
 
 def members(left: DataFrame, ids: DataFrame, keys: Sequence[str], keep: bool = True,
