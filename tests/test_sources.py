@@ -297,3 +297,11 @@ def test_settled_rows_are_stable(spark):
     first = rows(frame, "id", "r")
     time.sleep(0.01)
     assert rows(frame, "id", "r") == first
+
+
+@pytest.mark.parametrize("tag, want", [
+    ('<a x="1" href="">', ""), ("<a href = ' b'>", " b"), ("<a href= c>", "c"), ("<a href=c&amp;d>", "c&d"),
+    ('<a href="\'q\'">', "'q'"), ('<a href="open>', None), ("<a hrefs=c>", None)])
+def test_attribute_is_read_in_one_step(spark, tag, want):
+    page = spark.createDataFrame([(tag,)], "html string")
+    assert markup.read(page, [], {"value": ("html", markup.attribute("href"))}).first()["value"] == want
