@@ -9,6 +9,7 @@ from pyspark.sql import functions as F, types as T
 
 from shelfmark import scratch
 from shelfmark.functions import dates, text, urls
+from shelfmark.plans import runs
 from shelfmark.sources import api_pages, checks, files, jobs, markup, page_blocks, sinks
 
 BOM = "﻿"
@@ -299,6 +300,24 @@ def test_settled_rows_are_stable(spark):
     assert rows(frame, "id", "r") == first
 
 
+def test_pages_are_cut_up_once_for_a_row_of_jobs(spark, monkeypatch):
+    """A lookup reads its left side twice; counting keys must not cut the pages up again."""
+    read = []
+    visible = markup.visible
+    monkeypatch.setattr(markup, "visible", lambda html: read.append(html) or visible(html))
+    search = spark.createDataFrame([(1, '<div class="job-item-search-result"><h3 class="title"><a href="/a?x=1">A</a>'
+                                     '</h3><a class="company" href="/c">C</a></div>')], "page_id int, html string")
+    detail = spark.createDataFrame([("https://j/a?x=1", "<h1>D</h1>")], "url string, html string")
+    firm = spark.createDataFrame([("https://j/c", '<h1 class="company-name">Firm | Site</h1><div class="row">'
+                                   "Size: 10</div>")], "url string, html string")
+    frame = runs.jobs_from_pages(search, detail, firm, "https://j", "Site")
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert len(read) == 3
+    # Cards and details stand in the scratch folder by now.
+    assert "job-item-search-result" not in plan and "job-detail__info" not in plan
+    assert rows(frame, "title", "detail_title", "company_name_full", "company_size") == [("A", "D", "Firm", "10")]
+
+
 @pytest.mark.parametrize("tag, want", [
     ('<a x="1" href="">', ""), ("<a href = ' b'>", " b"), ("<a href= c>", "c"), ("<a href=c&amp;d>", "c&d"),
     ('<a href="\'q\'">', "'q'"), ('<a href="open>', None), ("<a hrefs=c>", None)])
