@@ -10,6 +10,7 @@ from pyspark.sql import functions as F, types as T
 from shelfmark import scratch
 from shelfmark.functions import dates, text, urls
 from shelfmark.plans import runs
+from shelfmark import queries as registry
 from shelfmark.sources import api_pages, checks, files, jobs, markup, page_blocks, sinks
 
 BOM = "﻿"
@@ -324,3 +325,8 @@ def test_pages_are_cut_up_once_for_a_row_of_jobs(spark, monkeypatch):
 def test_attribute_is_read_in_one_step(spark, tag, want):
     page = spark.createDataFrame([(tag,)], "html string")
     assert markup.read(page, [], {"value": ("html", markup.attribute("href"))}).first()["value"] == want
+
+
+def test_grid_pages_are_cut_up_once_for_both_zones(spark):
+    frame = registry.functions()["grid_zones_merged"](spark, "/root/testdata/sf0.001")
+    assert "MuiDataGrid" not in frame._jdf.queryExecution().optimizedPlan().toString()
