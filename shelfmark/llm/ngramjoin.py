@@ -25,12 +25,14 @@ order within a class is that of the numbers. What is shipped to the tasks has a
 map may say so wrongly, never the opposite, so a fuller map costs time, not results.
 
 Candidates: within a signature, everything is first compared with one head only; linked sets become
-components. Then the members of different components of a signature are compared, so
-that no component is missed, while a large group of near copies costs as many comparisons as it has
-members. Before that, 256 parity bits per set bound from below how many shingles differ (common
-ones cancel out), within the join itself, so that a large group of similar sets that do not link
-leaves few rows; the places of the shared shingles in the global order bound what a pair can share
-at most. Neither bound drops a linked pair. Sets are compared whole.
+components. Then the members of different components of a signature are compared, without the head,
+which has met them all, so that no component is missed, while a large group of near copies costs as
+many comparisons as it has members. Before that, 256 parity bits per set bound from below how many
+shingles differ (common ones cancel out), within the join itself, so that a large group of similar
+sets that do not link leaves few rows; the places of the shared shingles in the global order bound
+what a pair can share at most. Whatever pairs are left then meet a longer parity sketch, whose bits
+grow with the set, before any text is sent. None of these bounds drops a linked pair. Sets are
+compared whole.
 """
 
 from __future__ import annotations
@@ -45,7 +47,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..scratch import settle
 from .components import components
-from .shingles import mixed, shingle_set
+from .shingles import mixed, shingle_lists, shingle_sets
 
 KNOWN = 0.2
 SELDOM = 32
@@ -70,9 +72,8 @@ def _counted(texts: DataFrame, width: int, known: float) -> DataFrame:
         below = _known_below(known)
         for batch in batches:
             found = []
-            for text in batch.column(0):
-                tokens = shingle_set(text.as_py(), width)
-                found.append(tokens[:np.searchsorted(tokens, below)])
+            for tokens in shingle_lists(batch.column(0).to_pylist(), width):
+                found.append(np.unique(tokens[tokens < below]))
             tokens, n = np.unique(np.concatenate(found), return_counts=True) if found else ((), ())
             if len(tokens):
                 yield pa.RecordBatch.from_arrays(
@@ -190,18 +191,19 @@ class _Index:
 
 
 def _prepared(docs: DataFrame, width: int, percent: int, known: float, frequent, repeated):
-    """doc_id, text_no (number of the text), n, node (number of the set, null if empty), sigs."""
+    """doc_id, text_no (number of the text), n, node (number of the set, null if empty), sigs, parity
+    bits and sketch of the set."""
     shipped = docs.sparkSession.sparkContext.broadcast((frequent, repeated))
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _Index(*shipped.value, percent, known)
         for batch in batches:
-            sizes, nodes, sigs, places, parity = [], [], [], [], []
-            for text in batch.column(1):
-                tokens = shingle_set(text.as_py(), width)
+            sizes, nodes, sigs, places, parity, sketches = [], [], [], [], [], []
+            for tokens in shingle_sets(batch.column(1).to_pylist(), width):
                 sizes.append(len(tokens))
                 nodes.append(_node(tokens))
                 parity.append(_parity(tokens))
+                sketches.append(_sketch(tokens))
                 for out, found in zip((sigs, places), index(tokens), strict=True):
                     out.append(found)
             ends = np.cumsum([0, *map(len, sigs)]).astype(np.int32)
@@ -211,11 +213,12 @@ def _prepared(docs: DataFrame, width: int, percent: int, known: float, frequent,
                 [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64))),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(place)),
+                 pa.array(sketches, pa.binary()),
                  *map(pa.array, np.array(parity, np.int64).reshape(-1, len(_PARITY)).T)],
-                ["doc_id", "text_no", "n", "node", "sigs", "places", *_PARITY])
+                ["doc_id", "text_no", "n", "node", "sigs", "places", "sketch", *_PARITY])
     return docs.withColumn("text_no", F.xxhash64("text")).mapInArrow(
         prepare, "doc_id long, text_no long, n long, node long, sigs array<long>, places array<int>, "
-        + ", ".join(f"{p} long" for p in _PARITY))
+        "sketch binary, " + ", ".join(f"{p} long" for p in _PARITY))
 
 
 def _node(tokens: np.ndarray) -> int | None:
@@ -231,6 +234,25 @@ def _parity(tokens: np.ndarray) -> np.ndarray:
     return np.packbits((counts & 1).astype(bool)).view(np.int64)
 
 
+def _sketch(tokens: np.ndarray) -> bytes:
+    """Parity bits as in ``_parity``, but at least one per shingle, dealt by the numbers' low ends: two
+    halves of a sketch give the sketch of half the length."""
+    bits = 64
+    while bits < len(tokens):
+        bits *= 2
+    counts = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(bool)).tobytes()
+
+
+def _odd(a: bytes, b: bytes) -> int:
+    """In how many bits two sketches differ: at most in as many as the sets differ in shingles."""
+    x, y = sorted((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)), key=len)
+    while len(y) > len(x):
+        half = len(y) // 2
+        y = y[:half] ^ y[half:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 # -- candidates and links --------------------------------------------------------------------------
 
 def _verified(docs: DataFrame, owners: DataFrame, pairs: DataFrame, width: int,
@@ -257,7 +279,7 @@ def _verified(docs: DataFrame, owners: DataFrame, pairs: DataFrame, width: int,
              .groupBy("owner").agg(F.first("text").alias("text")))
 
     def compare(held: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        of = {_node(t): t for t in (shingle_set(text, width) for text in held["text"])}
+        of = {_node(t): t for t in shingle_sets(held["text"], width)}
         linked = []
         for a, b in zip(asked["a"], asked["b"], strict=True):
             x, y = of[a], of[b]
@@ -283,6 +305,20 @@ def _few_differ(percent: int):
     return odd * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
 
 
+def _few_odd(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, na, b, nb) whose sketches allow for a link."""
+    @F.arrow_udf("boolean")
+    def allowed(a: pa.Array, b: pa.Array, na: pa.Array, nb: pa.Array) -> pa.Array:
+        odd = np.fromiter(map(_odd, a.to_pylist(), b.to_pylist()), np.int64, len(a))
+        both = na.to_numpy(zero_copy_only=False) + nb.to_numpy(zero_copy_only=False)
+        return pa.array(odd * (100 + percent) <= both * (100 - percent))
+
+    drawn = pairs
+    for end in "ab":
+        drawn = drawn.join(nodes.select(F.col("node").alias(end), F.col("sketch").alias(f"_{end}")), end)
+    return drawn.where(allowed("_a", "_b", "na", "nb")).select(*pairs.columns)
+
+
 def _can_reach(percent: int):
     """Whether a pair that shares k single signatures, the last one at places ia and ib, can still
     share enough: beyond that place at most the rest of the smaller remainder is shared."""
@@ -307,7 +343,7 @@ def join_documents(docs: DataFrame, width: int = 4, percent: int = 85, known: fl
     rows = settle(_prepared(docs, width, percent, known, _frequent(counts, seldom),
                             _bits(counts, "token")))
     nodes = settle(rows.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("least_id"), F.min("text_no").alias("owner"),
+        F.min("doc_id").alias("least_id"), F.min("text_no").alias("owner"), F.min("sketch").alias("sketch"),
         *(F.min(p).alias(p) for p in _PARITY)))
     owners = nodes.select("node", "owner")
     posted = rows.select("node", "n", F.inline(F.arrays_zip("sigs", "places"))).toDF(
@@ -320,16 +356,20 @@ def join_documents(docs: DataFrame, width: int = 4, percent: int = 85, known: fl
     weights = live.groupBy("node").agg(F.count(F.lit(1)).alias("weight"))
     heads = live.join(weights, "node").groupBy("sig").agg(
         F.max(F.struct("weight", "node", "n")).alias("head"))
-    stars = (live.join(heads, "sig").select("node", "n", "head").where("node <> head.node").select(
-        F.col("head.node").alias("a"), F.col("head.n").alias("na"),
-        F.col("node").alias("b"), F.col("n").alias("nb")).where(_near_in_size(percent)).distinct())
+    members = settle(live.join(heads, "sig").where("node <> head.node").select(
+        "sig", "place", "node", "n", F.col("head.node").alias("head"), F.col("head.n").alias("head_n")))
+    stars = (members.select(F.col("head").alias("a"), F.col("head_n").alias("na"),
+                            F.col("node").alias("b"), F.col("n").alias("nb"))
+             .where(_near_in_size(percent)).distinct())
+    stars = _few_odd(stars, nodes, percent)
     # Of a head with very many partners, some per place.
     crowds = stars.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).alias("blocks"))
     stars = settle(stars.join(crowds, "a").withColumn("place", F.xxhash64(
         "a", F.pmod(F.xxhash64("b"), "blocks"))).drop("blocks"))
     links = settle(_verified(docs, owners, stars, width, percent))
     known_parts = components(links)
-    placed = live.select("sig", "place", "node", "n").join(known_parts, "node", "left").withColumn(
+    # All pairs with the head of a signature are done, whether they linked or were ruled out.
+    placed = members.select("sig", "place", "node", "n").join(known_parts, "node", "left").withColumn(
         "part", F.coalesce("component", "node"))
     mixed_sigs = placed.groupBy("sig").agg(
         F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("sig")
@@ -339,17 +379,18 @@ def join_documents(docs: DataFrame, width: int = 4, percent: int = 85, known: fl
     left = open_rows.toDF("sig", "ia", "a", "na", "pa", *(f"{p}a" for p in _PARITY)).join(
         crowds, "sig")
     right = open_rows.toDF("sig", "ib", "b", "nb", "pb", *(f"{p}b" for p in _PARITY))
-    rest = settle(left.join(right, "sig").where("a < b and pa <> pb").where(
-                      _near_in_size(percent) & _few_differ(percent))
-                  .groupBy("a", "na", "b", "nb").agg(
-                      F.count(F.lit(1)).alias("k"), F.max("ia").alias("ia"),
-                      F.max("ib").alias("ib"), F.min(F.least("ia", "ib")).alias("low"),
-                      F.min(F.struct("sig", "blocks")).alias("at"))
-                  .where((F.col("low") < 0) | _can_reach(percent)).select("a", "na", "b", "nb", F.xxhash64(
-                      "at.sig", F.pmod(F.xxhash64("a"), F.col("at.blocks")),
-                      F.pmod(F.xxhash64("b"), F.col("at.blocks"))).alias("place"))
-                  .join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
-                        ["a", "b"], "left_anti"))
+    rest = (left.join(right, "sig").where("a < b and pa <> pb").where(
+                _near_in_size(percent) & _few_differ(percent))
+            .groupBy("a", "na", "b", "nb").agg(
+                F.count(F.lit(1)).alias("k"), F.max("ia").alias("ia"),
+                F.max("ib").alias("ib"), F.min(F.least("ia", "ib")).alias("low"),
+                F.min(F.struct("sig", "blocks")).alias("at"))
+            .where((F.col("low") < 0) | _can_reach(percent)).select("a", "na", "b", "nb", F.xxhash64(
+                "at.sig", F.pmod(F.xxhash64("a"), F.col("at.blocks")),
+                F.pmod(F.xxhash64("b"), F.col("at.blocks"))).alias("place")))
+    rest = settle(_few_odd(rest, nodes, percent).join(
+        stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
+        ["a", "b"], "left_anti"))
     more = _verified(docs, owners, rest, width, percent)
     parts = components(links.unionByName(more))
     named = (nodes.join(parts, "node", "left")

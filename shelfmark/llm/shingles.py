@@ -7,10 +7,14 @@ different ones share a number with odds of 2 to the -64.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from itertools import chain
+
 import numpy as np
 import xxhash
 
 _CACHED = 500_000
+_TOGETHER = 1 << 15  # words
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -32,14 +36,41 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_set(text: str | None, width: int) -> np.ndarray:
-    """Sorted distinct shingle numbers; with fewer words, the whole sequence as one shingle."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    values = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    take = min(width, len(values))
+def _combined(values: np.ndarray, take: int) -> np.ndarray:
     out = np.full(len(values) - take + 1, take, np.uint64)
     for k in range(take):
         out = mixed((out + values[k:len(values) - take + 1 + k]) * _ODD)
-    return np.unique(out)
+    return out
+
+
+def shingle_lists(texts: Iterable[str | None], width: int) -> Iterator[np.ndarray]:
+    """Every text's shingle numbers in the order of the words, repeats included. Texts are worked on
+    together up to ``_TOGETHER`` words, which spares short texts most of the cost of small arrays."""
+    held, size = [], 0
+    for text in texts:
+        held.append((text or "").encode().lower().split())
+        size += len(held[-1])
+        if size >= _TOGETHER:
+            yield from _shingled(held, size, width)
+            held, size = [], 0
+    yield from _shingled(held, size, width)
+
+
+def _shingled(held: list[list[bytes]], size: int, width: int) -> Iterator[np.ndarray]:
+    values = np.fromiter(map(_hashes.__getitem__, chain.from_iterable(held)), np.uint64, size)
+    every = _combined(values, width) if size >= width else None
+    start = 0
+    for n in map(len, held):
+        yield (every[start:start + n - width + 1] if n >= width else
+               _combined(values[start:start + n], n) if n else values[:0])
+        start += n
+
+
+def shingle_sets(texts: Iterable[str | None], width: int) -> Iterator[np.ndarray]:
+    """Sorted distinct shingle numbers of every text; with fewer words, the whole sequence as one
+    shingle."""
+    return map(np.unique, shingle_lists(texts, width))
+
+
+def shingle_set(text: str | None, width: int) -> np.ndarray:
+    return next(shingle_sets([text], width))

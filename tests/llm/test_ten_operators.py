@@ -164,6 +164,38 @@ def test_linked_sets_share_a_signature_and_pass_the_parity_bound(percent):
         assert odd <= len(np.setxor1d(a, b))
 
 
+@pytest.mark.parametrize("percent", [80, 85, 95])
+def test_sketches_of_unequal_lengths_bound_the_difference(percent):
+    rng = np.random.default_rng(percent)
+    for n in (1, 60, 64, 65, 1000, 5000):
+        a = np.unique(rng.integers(0, 2 ** 64, n, np.uint64))
+        b = np.union1d(a[n // 20:], rng.integers(0, 2 ** 64, n // 10, np.uint64))
+        assert ngramjoin._odd(ngramjoin._sketch(a), ngramjoin._sketch(a)) == 0
+        for x, y in ((a, b), (b, a), (a, a[n // 3:])):
+            odd = ngramjoin._odd(ngramjoin._sketch(x), ngramjoin._sketch(y))
+            assert odd <= len(np.setxor1d(x, y))
+    far = np.union1d(a[2000:], rng.integers(0, 2 ** 64, 2000, np.uint64))
+    assert ngramjoin._odd(ngramjoin._sketch(a), ngramjoin._sketch(far)) > 2500
+
+
+def test_similar_sets_that_do_not_link_send_no_texts(spark, monkeypatch):
+    """A large group around one text, each member too far from all others, is ruled out by sketches."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10 ** 6)}" for _ in range(1500)]
+    texts = []
+    for k in range(60):
+        own = list(base)
+        for at in rng.sample(range(1500), 110):
+            own[at] = f"x{k}_{at}"
+        texts.append((k, " ".join(own)))
+    sent, verified = [], ngramjoin._verified
+    monkeypatch.setattr(ngramjoin, "_verified", lambda docs, owners, pairs, *rest: (
+        sent.append(pairs.count()), verified(docs, owners, pairs, *rest))[1])
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = ngramjoin.join_documents(df, seldom=4).collect()
+    assert sent == [0, 0] and sorted(r["component_id"] for r in got) == list(range(60))
+
+
 @pytest.fixture(scope="module")
 def vectors():
     rng = np.random.default_rng(4)
