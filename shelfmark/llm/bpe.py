@@ -40,10 +40,12 @@ def read_ranks(path: str) -> bytes:
 
 
 class Codec:
-    """Encoder and decoder of one rank file."""
+    """Encoder and decoder of one rank file. Matches of at most ``scanned`` bytes are merged by scanning
+    their few pairs for the least rank, which needs no tree; the ids are the same."""
 
-    def __init__(self, ranks: bytes, pattern: str = PATTERN):
+    def __init__(self, ranks: bytes, pattern: str = PATTERN, scanned: int = 0):
         import regex
+        self.scanned = scanned
         self.ranks = {base64.b64decode(token): int(rank)
                       for token, rank in (line.split() for line in ranks.splitlines() if line)}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
@@ -57,6 +59,8 @@ class Codec:
         ranks, n = self.ranks, len(piece)
         if piece in ranks:
             return [ranks[piece]]
+        if n <= self.scanned:
+            return self._scan(piece)
         # Leaf i: rank of the pair that starts at i, times n, plus i. The least one is leftmost, too.
         rank_of, none = ranks.get, _NONE * n
         size = 1 << (n - 2).bit_length()
@@ -100,6 +104,20 @@ class Codec:
             i = end[i]
         return out
 
+    def _scan(self, piece: bytes) -> list[int]:
+        rank_of = self.ranks.get
+        parts = [piece[i:i + 1] for i in range(len(piece))]
+        pairs = [rank_of(piece[i:i + 2], _NONE) for i in range(len(piece) - 1)]
+        while pairs and (best := min(pairs)) < _NONE:
+            i = pairs.index(best)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del pairs[i]
+            if i:
+                pairs[i - 1] = rank_of(parts[i - 1] + parts[i], _NONE)
+            if i < len(pairs):
+                pairs[i] = rank_of(parts[i] + parts[i + 1], _NONE)
+        return [self.ranks[part] for part in parts]
+
     def _piece(self, piece: str) -> bytes:
         packed = self.packed.get(raw := piece.encode())
         return packed or b"".join([rank.to_bytes(4, "little") for rank in self.merge(raw)])
@@ -147,15 +165,15 @@ class _Memo(dict):
         return value
 
 
-_codecs: dict[tuple[int, str], Codec] = {}
+_codecs: dict[tuple[int, str, int], Codec] = {}
 
 
-def codec_of(ranks: bytes, pattern: str = PATTERN) -> Codec:
+def codec_of(ranks: bytes, pattern: str = PATTERN, scanned: int = 0) -> Codec:
     """One codec per worker process and vocabulary."""
-    key = (hash(ranks), pattern)
+    key = (hash(ranks), pattern, scanned)
     if key not in _codecs:
         _codecs.clear()
-        _codecs[key] = Codec(ranks, pattern)
+        _codecs[key] = Codec(ranks, pattern, scanned)
     return _codecs[key]
 
 

@@ -19,18 +19,11 @@ from pyspark.sql import DataFrame, functions as F
 from .bpe import PATTERN, codec_of, read_ranks
 
 _OUT = "array<struct<section:int,start:int,end:int,n_tokens:int>>"
+_CHARS = 1 << 19
+_SCANNED = 64  # bytes of a match that is merged without a tree
 _TYPE = pa.list_(pa.struct([(n, pa.int32()) for n in ("section", "start", "end", "n_tokens")]))
 
 
-def line_spans(text: str) -> list[tuple[int, int]]:
-    """Character spans of the lines, without their ends."""
-    spans, start = [], 0
-    for line in text.split("\n"):
-        spans.append((start, start + len(line)))
-        start += len(line) + 1
-    return spans
-
-
 def attribute(lengths: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Section of every token, -1 for none; sections are sorted, do not overlap and may be empty."""
     stop = np.cumsum(lengths)
@@ -42,31 +35,63 @@ def attribute(lengths: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     a, b = starts[filled], ends[filled]
     first, last = np.searchsorted(b, start, "right"), np.searchsorted(a, stop, "left") - 1
     most = np.zeros(len(lengths), dtype=np.int64)
-    for step in range(int(max(0, (last - first).max())) + 1):
-        at = np.minimum(first + step, len(filled) - 1)
-        shared = np.where(first + step <= last,
-                          np.minimum(stop, b[at]) - np.maximum(start, a[at]), 0)
-        better = shared > most
-        found[better], most[better] = filled[at[better]], shared[better]
+    token = np.flatnonzero(first <= last)
+    while len(token):
+        at = first[token]
+        shared = np.minimum(stop[token], b[at]) - np.maximum(start[token], a[at])
+        better = shared > most[token]
+        found[token[better]], most[token[better]] = filled[at[better]], shared[better]
+        first[token] += 1
+        token = token[first[token] <= last[token]]
     return found
 
 
-def _sections(codec, lengths_of, text: str | None, spans) -> list[tuple[int, int, int, int]]:
-    text = text or ""
-    spans = line_spans(text) if spans is None else sorted(
-        (max(0, min(s["start"], len(text))), max(0, min(s["end"], len(text)))) for s in spans)
-    chars = np.array(spans, dtype=np.int64).reshape(-1, 2)
-    raw = text.encode()
-    if len(raw) == len(text):
-        bounds = chars
-    else:  # byte position of every character
-        byte = np.frombuffer(raw, np.uint8)
-        bounds = np.append(np.flatnonzero((byte & 0xC0) != 0x80), len(raw))[chars]
-    ids = np.frombuffer(codec.encode(text), "<u4")
-    section = attribute(lengths_of[ids], bounds[:, 0], bounds[:, 1])
-    counts = np.bincount(section + 1, minlength=len(spans) + 1)
-    rows = [(k, s, e, int(counts[k + 1])) for k, (s, e) in enumerate(spans)]
-    return rows + ([(-1, 0, 0, int(counts[0]))] if counts[0] else [])
+def _sections(codec, lengths_of: np.ndarray, texts: list[str], spans: list | None) -> pa.Array:
+    """Section, start, end and n_tokens of all texts, laid one after the other on one axis of bytes, so
+    that one join of tokens and sections serves them all."""
+    raw = [text.encode() for text in texts]
+    coded = [np.frombuffer(codec.encode(text), "<u4") for text in texts]
+    size, n_ids = (np.fromiter(map(len, x), np.int64, len(texts)) for x in (raw, coded))
+    stop = np.cumsum(size)
+    base = stop - size
+    byte = np.frombuffer(b"".join(raw), np.uint8)
+    begins = (byte & 0xC0) != 0x80
+    before = np.concatenate([[0], np.cumsum(begins)])  # characters that begin before a byte
+    if spans is None:
+        breaks = np.flatnonzero(byte == 10)
+        starts, ends = np.sort(np.append(base, breaks + 1)), np.sort(np.append(breaks, stop))
+        n = 1 + np.searchsorted(breaks, stop) - np.searchsorted(breaks, base)
+        left = np.repeat(before[base], n)
+        chars = np.column_stack([before[starts] - left, before[ends] - left])
+    else:
+        cut = [sorted((max(0, min(s["start"], len(text))), max(0, min(s["end"], len(text))))
+                      for s in own) for text, own in zip(texts, spans, strict=True)]
+        n = np.fromiter(map(len, cut), np.int64, len(cut))
+        chars = np.array([pair for own in cut for pair in own], np.int64).reshape(-1, 2)
+        starts, ends = np.append(np.flatnonzero(begins), len(byte))[
+            chars.T + np.repeat(before[base], n)]
+    ids = np.concatenate(coded)
+    section = attribute(lengths_of[ids], starts, ends)
+    counts = np.bincount(section[section >= 0], minlength=len(starts))
+    outside = np.bincount(np.repeat(np.arange(len(texts)), n_ids)[section < 0], minlength=len(texts))
+    after = np.cumsum(n)
+    number = np.arange(len(starts)) - np.repeat(after - n, n)
+    loose = np.flatnonzero(outside)
+    columns = [np.insert(values, after[loose], of_none).astype(np.int32) for values, of_none in (
+        (number, -1), (chars[:, 0], 0), (chars[:, 1], 0), (counts, outside[loose]))]
+    return pa.ListArray.from_arrays(
+        pa.array(np.concatenate([[0], np.cumsum(n + (outside > 0))]), pa.int32()),
+        pa.StructArray.from_arrays(list(map(pa.array, columns)), fields=list(_TYPE.value_type)))
+
+
+def _together(texts: list[str]) -> Iterator[slice]:
+    """Ranges of texts of about ``_CHARS`` characters, or of one longer text."""
+    start = size = 0
+    for k, text in enumerate(texts, 1):
+        size += len(text)
+        if size >= _CHARS or k == len(texts):
+            yield slice(start, k)
+            start, size = k, 0
 
 
 def section_counts(df: DataFrame, path: str, text: str = "text", spans: str | None = None,
@@ -84,14 +109,16 @@ def section_counts(df: DataFrame, path: str, text: str = "text", spans: str | No
 
     @F.arrow_udf(_OUT)
     def count(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        codec = codec_of(ranks.value, pattern)
+        codec = codec_of(ranks.value, pattern, _SCANNED)
         lengths = np.zeros(max(codec.tokens) + 1, dtype=np.int64)
         for rank, token in codec.tokens.items():
             lengths[rank] = len(token)
         for texts, given in batches:
-            yield pa.array([_sections(codec, lengths, t.as_py(),
-                                      None if with_lines else g.as_py() or [])
-                            for t, g in zip(texts, given, strict=True)], _TYPE)
+            texts = [text or "" for text in texts.to_pylist()]
+            given = None if with_lines else [own or [] for own in given.to_pylist()]
+            yield pa.concat_arrays([pa.array([], _TYPE), *(
+                _sections(codec, lengths, texts[part], given and given[part])
+                for part in _together(texts))])
 
     given = F.lit(0) if with_lines else F.col(f"`{spans}`")
     kept = [c for c in df.columns if c not in (text, spans, "section", "start", "end", "n_tokens")]

@@ -51,6 +51,14 @@ def test_encoding_equals_reference_and_round_trips(awkward, reference):
             np.array(ids, "<u4").tobytes()).digest()
 
 
+def test_scanned_matches_have_the_same_ids(reference):
+    rng = random.Random(6)
+    scan = bpe.Codec(bpe.read_ranks(vocabulary()), scanned=64)
+    for _ in range(300):
+        text = "".join(rng.choice("abeßé日z0 ") for _ in range(rng.randint(1, 90)))
+        assert np.frombuffer(scan.encode(text), "<u4").tolist() == reference.encode_ordinary(text)
+
+
 def test_section_counts_sum_to_the_whole(awkward, reference):
     rows = tokencount.section_counts(awkward, vocabulary()).collect()
     for k, text in enumerate(AWKWARD):
@@ -60,6 +68,45 @@ def test_section_counts_sum_to_the_whole(awkward, reference):
             range((text or "").count("\n") + 1))
 
 
+def test_section_counts_equal_plain_loops_whatever_texts_share_a_join(spark, reference, monkeypatch):
+    rng = random.Random(2)
+    texts = ["".join(rng.choice(["\n", " ", "\n\n", "wörter", "日本", "abc def", "🔑"])
+                     for _ in range(rng.randint(0, 30))) for _ in range(80)] + AWKWARD
+    cuts = [sorted(rng.sample(range(40), 2 * rng.randint(0, 4))) for _ in texts]
+    rows = [(k, t, [tuple(c[i:i + 2]) for i in range(0, len(c), 2)])
+            for k, (t, c) in enumerate(zip(texts, cuts))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, cut array<struct<start:int,end:int>>")
+
+    def plain(text, spans):
+        size = [len(text[:c].encode()) for c in range(len(text) + 1)]
+        counts, at = {}, 0
+        for token in reference.encode_ordinary(text):
+            end = at + len(reference.decode_single_token_bytes(token))
+            shared = [min(end, size[b]) - max(at, size[a]) for a, b in spans]
+            k = max(range(len(spans)), key=lambda i: (shared[i], -i), default=-1)
+            k = k if k >= 0 and shared[k] > 0 else -1
+            counts[k], at = counts.get(k, 0) + 1, end
+        own = [(k, a, b, counts.get(k, 0)) for k, (a, b) in enumerate(spans)]
+        return own + ([(-1, 0, 0, counts[-1])] if -1 in counts else [])
+    calls, joined = [], tokencount.attribute
+    codec, lengths = bpe.Codec(bpe.read_ranks(vocabulary())), None
+    lengths = np.zeros(max(codec.tokens) + 1, np.int64)
+    lengths[list(codec.tokens)] = [len(t) for t in codec.tokens.values()]
+    monkeypatch.setattr(tokencount, "attribute", lambda *a: (calls.append(1), joined(*a))[1])
+    tokencount._sections(codec, lengths, [t or "" for t in texts], None)
+    assert len(calls) == 1  # one join for all texts
+    for column in (None, "cut"):
+        got = {}
+        for r in tokencount.section_counts(df, vocabulary(), spans=column).collect():
+            got.setdefault(r["doc_id"], []).append((r["section"], r["start"], r["end"], r["n_tokens"]))
+        for k, text, cut in rows:
+            text, spans = text or "", [(min(a, len(text or "")), min(b, len(text or ""))) for a, b in cut]
+            if column is None:
+                ends = [i for i, c in enumerate(text) if c == "\n"]
+                spans = list(zip([0, *(e + 1 for e in ends)], [*ends, len(text)]))
+            assert got.get(k, []) == plain(text, spans)
+
+
 def test_crossing_token_goes_to_the_larger_part():
     found = tokencount.attribute(np.array([2, 3, 1]), np.array([0, 4]), np.array([3, 6]))
     assert found.tolist() == [0, 0, 1]
