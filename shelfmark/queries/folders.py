@@ -51,7 +51,7 @@ def raw_line_parser(spark, sf_dir):
         plain(key + 1), plain(key + 2)).alias("value"))
     folder = scratch.fresh(spark, "lines")
     for name, lines in (("a", first.union(noise)), ("b", second)):
-        (lines.repartition(4, "o_custkey").sortWithinPartitions("o_orderkey").select("value")
+        (lines.repartition("o_custkey").sortWithinPartitions("o_orderkey").select("value")
          .write.text(f"{folder}/{name}"))
     return files.merge_url_lines(files.read_url_lines(spark, [f"{folder}/a", f"{folder}/b"], _IMAGE))
 

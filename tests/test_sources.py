@@ -330,3 +330,20 @@ def test_attribute_is_read_in_one_step(spark, tag, want):
 def test_grid_pages_are_cut_up_once_for_both_zones(spark):
     frame = registry.functions()["grid_zones_merged"](spark, "/root/testdata/sf0.001")
     assert "MuiDataGrid" not in frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_raw_lines_are_written_by_as_many_tasks_as_the_session_has(spark, tmp_path, monkeypatch):
+    from pathlib import Path
+    from shelfmark.queries import folders
+    monkeypatch.setattr(folders.scratch, "fresh", lambda session, label: f"{tmp_path}/{label}")
+    changed = {"spark.sql.shuffle.partitions": "9", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        monkeypatch.setattr(folders.files, "merge_url_lines", lambda lines: lines)
+        folders.raw_line_parser(spark, "/root/testdata/sf0.001")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(list(Path(tmp_path, "lines", "a").glob("part-*"))) > 4
