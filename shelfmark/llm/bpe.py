@@ -17,9 +17,12 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterator
+from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Split pattern of the byte-level vocabularies (a fixed value of the public rank files).
@@ -28,6 +31,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 _NONE = 1 << 40  # above every rank
 _CACHED = 250_000  # entries of a memo's younger half
 _LONGEST_CACHED = 64
+_LONGEST_TABLED = 64  # bytes of a match that ``Together`` merges in a table
 
 # A blank joined to further white space: there, cutting at blanks alone would change matches.
 _AWKWARD = re.compile(r"\s \s|\s \Z")
@@ -127,6 +131,10 @@ class Codec:
         pieces = self.pieces
         return b"".join([pieces[piece] for piece in self.split(text)])
 
+    @cached_property
+    def together(self) -> Together:
+        return Together(self)
+
     def encode(self, text: str | None) -> bytes:
         """Packed ids. A match never holds a blank except in front, so that text without runs of
         white space can be cut before every blank and its words be remembered."""
@@ -145,6 +153,139 @@ class Codec:
         return b"".join([tokens[i] for i in np.frombuffer(packed, "<u4").tolist()])
 
 
+class Together:
+    """Encodes many texts at once. Their words are numbered, new words are cut by one search, and the
+    matches in them are merged as rows of a table; ids are those of ``Codec.encode``."""
+
+    def __init__(self, codec: Codec):
+        self.codec = codec
+        self.met: dict[str, bytes] = {}  # ids of a word with a blank in front
+        ranks = codec.ranks
+        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        made = sorted((ranks[token[:k]] << 32 | ranks[token[k:]], rank)
+                      for token, rank in ranks.items() for k in range(1, len(token))
+                      if token[:k] in ranks and token[k:] in ranks)
+        self.pairs, self.made = np.array([*made, (1 << 62, _NONE)], np.int64).T.copy()
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one text after the other, and every text's number of ids."""
+        split = self.codec.split
+        whole = [_AWKWARD.search(text) is not None for text in texts]
+        parts = [(text, "", "") if awkward else text.partition(" ")
+                 for text, awkward in zip(texts, whole, strict=True)]
+        bare = [split(first) for first, _, _ in parts]
+        rest = pc.split_pattern(pa.array([rest if blank else None for _, blank, rest in parts],
+                                         pa.large_string()), " ")
+        words = rest.flatten().dictionary_encode()
+        known = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        n_words = rest.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        n_bare = np.fromiter(map(len, bare), np.int64, len(bare))
+
+        if len(self.met) > _CACHED:
+            self.met.clear()
+        met = self.met
+        fresh = [word for word in known if word not in met]
+        fresh, matches, n_matches = self._cut(fresh)
+        matches += chain.from_iterable(bare)
+        number = pa.array(matches, pa.large_string()).dictionary_encode()
+        ids, sizes = self._merged([m.encode() for m in number.dictionary.to_numpy(zero_copy_only=False)])
+        number = number.indices.to_numpy()
+        n_fresh = int(n_matches.sum())
+        packed, n = _gathered(ids, sizes, number[:n_fresh])
+        ends = 4 * np.cumsum(n)[np.cumsum(n_matches) - 1] if len(fresh) else np.empty(0, np.int64)
+        raw = packed.astype("<u4").tobytes()
+        met.update(zip(fresh, [raw[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())], strict=True))
+
+        # A text is the numbers of its first matches, then those of its words.
+        of_word = [met[word] for word in known]
+        table = np.concatenate([np.frombuffer(b"".join(of_word), "<u4").astype(np.int64), ids])
+        sizes = np.concatenate([np.fromiter(map(len, of_word), np.int64, len(known)) // 4, sizes])
+        start = np.cumsum(n_bare + n_words) - n_bare - n_words
+        order = np.empty(int(n_bare.sum() + n_words.sum()), np.int64)
+        order[_places(start, n_bare)] = number[n_fresh:] + len(known)
+        order[_places(start + n_bare, n_words)] = words.indices.to_numpy()
+        found, n = _gathered(table, sizes, order)
+        before = np.concatenate([[0], np.cumsum(n)])
+        return found, before[start + n_bare + n_words] - before[start]
+
+    def _cut(self, words: list[str]) -> tuple[list[str], list[str], np.ndarray]:
+        """Words, all matches in them with a blank before each word, and the number of these."""
+        split = self.codec.split
+        plain = [word for word in words if word and word == word.strip()]
+        edged = [word for word in words if not word or word != word.strip()]
+        # Joined by blanks the plain ones have no runs of white space, so the search cuts at every blank.
+        matches = split(" " + " ".join(plain)) if plain else []
+        first = np.flatnonzero(np.fromiter((m[0] == " " for m in matches), bool, len(matches)))
+        more = [split(" " + word) for word in edged]
+        n = np.concatenate([np.diff(np.append(first, len(matches))),
+                            np.fromiter(map(len, more), np.int64, len(more))])
+        return plain + edged, [*matches, *chain.from_iterable(more)], n.astype(np.int64)
+
+    def _merged(self, matches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of matches, one after the other, and their numbers. Matches of as many tokens form a
+        table: each of its rows makes one merge a step, or is done and leaves."""
+        rank = self.codec.ranks.get
+        whole = np.fromiter((rank(match, -1) for match in matches), np.int64, len(matches))
+        size = np.fromiter(map(len, matches), np.int64, len(matches))
+        done = [(np.flatnonzero(whole >= 0), whole[whole >= 0, None])]
+        for k in np.flatnonzero((whole < 0) & (size > _LONGEST_TABLED)):
+            done.append((np.array([k]), np.array([self.codec.merge(matches[k])], np.int64)))
+        size[(whole >= 0) | (size > _LONGEST_TABLED)] = 0
+        rows, ids, ranks = np.empty(0, np.int64), None, None
+        for n in range(int(size.max(initial=0)), 1, -1):
+            own = np.flatnonzero(size == n)
+            if len(own):
+                byte = np.frombuffer(b"".join([matches[k] for k in own]), np.uint8)
+                new = self.byte_ids[byte].reshape(-1, n)
+                paired = self._made(new[:, :-1], new[:, 1:])
+                ids = np.concatenate([ids, new]) if len(rows) else new
+                ranks = np.concatenate([ranks, paired]) if len(rows) else paired
+                rows = np.concatenate([rows, own])
+            if not len(rows):
+                continue
+            at = ranks.argmin(axis=1)  # the leftmost of least rank
+            best = ranks[np.arange(len(rows)), at]
+            going = best < _NONE
+            done.append((rows[~going], ids[~going]))
+            rows, ids, ranks, at, best = rows[going], ids[going], ranks[going], at[going], best[going]
+            row = np.arange(len(rows))
+            stays = np.ones(ids.shape, bool)
+            stays[row, at + 1] = False
+            ids[row, at] = best
+            ids = ids[stays].reshape(len(rows), n - 1)
+            ranks = ranks[stays[:, 1:]].reshape(len(rows), n - 2)
+            for there, left in ((at > 0, at - 1), (at < n - 2, at)):
+                i, j = row[there], left[there]
+                ranks[i, j] = self._made(ids[i, j], ids[i, j + 1])
+        if len(rows):
+            done.append((rows, ids))
+        sizes = np.zeros(len(matches), np.int64)
+        for rows, ids in done:
+            sizes[rows] = ids.shape[1]
+        start = np.cumsum(sizes) - sizes
+        out = np.empty(int(sizes.sum()), np.int64)
+        for rows, ids in done:
+            out[start[rows, None] + np.arange(ids.shape[1])] = ids
+        return out, sizes
+
+    def _made(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the token that two tokens (ids) make, above all ranks if none."""
+        wanted = left << 32 | right
+        at = np.searchsorted(self.pairs, wanted)
+        return np.where(self.pairs[at] == wanted, self.made[at], _NONE)
+
+
+def _places(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start, start + 1 ... of each range, n numbers long, one after the other."""
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
+def _gathered(values: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ranges of numbers ``at`` of values that lie one after the other, and their sizes."""
+    n = sizes[at]
+    return values[_places((np.cumsum(sizes) - sizes)[at], n)], n
+
+
 class _Memo(dict):
     """Remembers a function of a short string. A full half becomes the older one, from which what
     is still in use comes back; what was in the older half before is forgotten."""

@@ -19,8 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from .bpe import PATTERN, codec_of, read_ranks
 
 _OUT = "array<struct<section:int,start:int,end:int,n_tokens:int>>"
-_CHARS = 1 << 19
-_SCANNED = 64  # bytes of a match that is merged without a tree
+_CHARS = 1 << 20
 _TYPE = pa.list_(pa.struct([(n, pa.int32()) for n in ("section", "start", "end", "n_tokens")]))
 
 
@@ -50,8 +49,8 @@ def _sections(codec, lengths_of: np.ndarray, texts: list[str], spans: list | Non
     """Section, start, end and n_tokens of all texts, laid one after the other on one axis of bytes, so
     that one join of tokens and sections serves them all."""
     raw = [text.encode() for text in texts]
-    coded = [np.frombuffer(codec.encode(text), "<u4") for text in texts]
-    size, n_ids = (np.fromiter(map(len, x), np.int64, len(texts)) for x in (raw, coded))
+    ids, n_ids = codec.together(texts)
+    size = np.fromiter(map(len, raw), np.int64, len(texts))
     stop = np.cumsum(size)
     base = stop - size
     byte = np.frombuffer(b"".join(raw), np.uint8)
@@ -70,7 +69,6 @@ def _sections(codec, lengths_of: np.ndarray, texts: list[str], spans: list | Non
         chars = np.array([pair for own in cut for pair in own], np.int64).reshape(-1, 2)
         starts, ends = np.append(np.flatnonzero(begins), len(byte))[
             chars.T + np.repeat(before[base], n)]
-    ids = np.concatenate(coded)
     section = attribute(lengths_of[ids], starts, ends)
     counts = np.bincount(section[section >= 0], minlength=len(starts))
     outside = np.bincount(np.repeat(np.arange(len(texts)), n_ids)[section < 0], minlength=len(texts))
@@ -109,7 +107,7 @@ def section_counts(df: DataFrame, path: str, text: str = "text", spans: str | No
 
     @F.arrow_udf(_OUT)
     def count(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        codec = codec_of(ranks.value, pattern, _SCANNED)
+        codec = codec_of(ranks.value, pattern)
         lengths = np.zeros(max(codec.tokens) + 1, dtype=np.int64)
         for rank, token in codec.tokens.items():
             lengths[rank] = len(token)

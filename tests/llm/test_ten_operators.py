@@ -59,6 +59,22 @@ def test_scanned_matches_have_the_same_ids(reference):
         assert np.frombuffer(scan.encode(text), "<u4").tolist() == reference.encode_ordinary(text)
 
 
+def test_texts_encoded_together_have_the_same_ids_and_merge_no_word_alone(reference, monkeypatch):
+    draw = random.Random(5)
+    texts = ["".join(draw.choices(" abcdefgh\n\t'ßéü日本語0123.,!s re", k=draw.randrange(60))) for _ in range(1500)]
+    texts += [" ".join("".join(draw.choices("abcdetion", k=draw.randrange(1, 60))) for _ in range(5))
+              for _ in range(300)]
+    texts += ["", " ", "  a", " a  ", "a\n b ", "\nfoo\n bar\n"]
+    for name in ("merge", "_scan"):
+        monkeypatch.setattr(bpe.Codec, name, None)
+    together = bpe.Codec(bpe.read_ranks(vocabulary())).together
+    for part in (texts, texts[::-1], texts[:1], []):
+        ids, n = together(part)
+        ends = np.cumsum(n)
+        found = [ids[end - size:end].tolist() for end, size in zip(ends, n, strict=True)]
+        assert found == [reference.encode_ordinary(text) for text in part]
+
+
 def test_section_counts_sum_to_the_whole(awkward, reference):
     rows = tokencount.section_counts(awkward, vocabulary()).collect()
     for k, text in enumerate(AWKWARD):
