@@ -28,10 +28,11 @@ Candidates: within a signature, everything is first compared with one head only;
 components. Then the members of different components of a signature are compared, without the head,
 which has met them all, so that no component is missed, while a large group of near copies costs as
 many comparisons as it has members. Before that, 256 parity bits per set bound from below how many
-shingles differ (common ones cancel out), within the join itself, so that a large group of similar
-sets that do not link leaves few rows; the places of the shared shingles in the global order bound
-what a pair can share at most. Whatever pairs are left then meet a longer parity sketch, whose bits
-grow with the set, before any text is sent. None of these bounds drops a linked pair. Sets are
+shingles differ (common ones cancel out), and a longer parity sketch, whose bits grow with the set,
+does the same for what they let pass, both within the join itself, so that a large group of similar
+sets that do not link leaves few rows, however large the sets; the places of the shared shingles in
+the global order bound what a pair can share at most. The pairs with heads meet the sketch as well,
+before any text is sent. None of these bounds drops a linked pair. Sets are
 compared whole.
 """
 
@@ -319,6 +320,22 @@ def _few_odd(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return drawn.where(allowed("_a", "_b", "na", "nb")).select(*pairs.columns)
 
 
+def _few_words_odd(percent: int):
+    """Whether the sketches (64-bit words) of sets a and b, near in size, allow for a link: as
+    ``_few_odd``, for the join's own condition. The longer one, of twice the words at most, is folded."""
+    least = F.least(F.size("sa"), F.size("sb"))
+    at = lambda name, i: F.coalesce(F.get(name, i), F.lit(0).cast("long"))
+    odd = F.aggregate(F.sequence(F.lit(0), least - 1), F.lit(0), lambda n, i: n + F.bit_count(
+        at("sa", i).bitwiseXOR(at("sb", i)).bitwiseXOR(at("sa", i + least)).bitwiseXOR(at("sb", i + least))))
+    return odd * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
+
+
+def _words(sketch: str):
+    """A sketch as array<long>."""
+    return F.transform(F.sequence(F.lit(0), (F.octet_length(sketch) / 8).cast("int") - 1), lambda i: F.conv(
+        F.hex(F.substring(F.col(sketch), i * 8 + 1, F.lit(8))), 16, -10).cast("long"))
+
+
 def _can_reach(percent: int):
     """Whether a pair that shares k single signatures, the last one at places ia and ib, can still
     share enough: beyond that place at most the rest of the smaller remainder is shared."""
@@ -373,14 +390,15 @@ def join_documents(docs: DataFrame, width: int = 4, percent: int = 85, known: fl
         "part", F.coalesce("component", "node"))
     mixed_sigs = placed.groupBy("sig").agg(
         F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("sig")
-    open_rows = settle(placed.join(mixed_sigs, "sig").join(nodes.select("node", *_PARITY), "node")
-                       .select("sig", "place", "node", "n", "part", *_PARITY))
+    sketched = nodes.select("node", *_PARITY, _words("sketch").alias("sketch"))
+    open_rows = settle(placed.join(mixed_sigs, "sig").join(sketched, "node")
+                       .select("sig", "place", "node", "n", "part", *_PARITY, "sketch"))
     crowds = open_rows.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).alias("blocks"))
-    left = open_rows.toDF("sig", "ia", "a", "na", "pa", *(f"{p}a" for p in _PARITY)).join(
+    left = open_rows.toDF("sig", "ia", "a", "na", "pa", *(f"{p}a" for p in _PARITY), "sa").join(
         crowds, "sig")
-    right = open_rows.toDF("sig", "ib", "b", "nb", "pb", *(f"{p}b" for p in _PARITY))
+    right = open_rows.toDF("sig", "ib", "b", "nb", "pb", *(f"{p}b" for p in _PARITY), "sb")
     rest = (left.join(right, "sig").where("a < b and pa <> pb").where(
-                _near_in_size(percent) & _few_differ(percent))
+                _near_in_size(percent) & _few_differ(percent) & _few_words_odd(percent))
             .groupBy("a", "na", "b", "nb").agg(
                 F.count(F.lit(1)).alias("k"), F.max("ia").alias("ia"),
                 F.max("ib").alias("ib"), F.min(F.least("ia", "ib")).alias("low"),
@@ -388,7 +406,7 @@ def join_documents(docs: DataFrame, width: int = 4, percent: int = 85, known: fl
             .where((F.col("low") < 0) | _can_reach(percent)).select("a", "na", "b", "nb", F.xxhash64(
                 "at.sig", F.pmod(F.xxhash64("a"), F.col("at.blocks")),
                 F.pmod(F.xxhash64("b"), F.col("at.blocks"))).alias("place")))
-    rest = settle(_few_odd(rest, nodes, percent).join(
+    rest = settle(rest.join(
         stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
         ["a", "b"], "left_anti"))
     more = _verified(docs, owners, rest, width, percent)

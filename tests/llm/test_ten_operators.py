@@ -259,6 +259,43 @@ def test_similar_sets_that_do_not_link_send_no_texts(spark, monkeypatch):
     assert sent == [0, 0] and sorted(r["component_id"] for r in got) == list(range(60))
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_sketches_as_words_allow_what_sketches_allow(spark, percent):
+    rng = np.random.default_rng(percent)
+    pairs = []
+    for n in (4, 60, 64, 65, 500, 2000):
+        a = np.unique(rng.integers(0, 2 ** 64, n, np.uint64))
+        for drop in (0, n // 30, n // 4):
+            b = np.union1d(a[drop:], rng.integers(0, 2 ** 64, n // 10, np.uint64))
+            for x, y in ((a, b), (b, a)):
+                odd = ngramjoin._odd(ngramjoin._sketch(x), ngramjoin._sketch(y))
+                pairs.append((bytearray(ngramjoin._sketch(x)), bytearray(ngramjoin._sketch(y)), len(x), len(y),
+                              odd * (100 + percent) <= (len(x) + len(y)) * (100 - percent)))
+    df = spark.createDataFrame(pairs, "a binary, b binary, na long, nb long, allowed boolean").select(
+        "na", "nb", "allowed", ngramjoin._words("a").alias("sa"), ngramjoin._words("b").alias("sb"))
+    got = df.select("allowed", ngramjoin._few_words_odd(percent).alias("found")).collect()
+    assert len({r["allowed"] for r in got}) == 2 and all(r["allowed"] == r["found"] for r in got)
+
+
+def test_sketches_rule_large_sets_out_within_the_join(spark, monkeypatch):
+    """Sets that fill the 256 parity bits: no row of the join of signatures is left to be counted."""
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10 ** 6)}" for _ in range(1500)]
+    texts = []
+    for k in range(30):
+        own = list(base)
+        for at in rng.sample(range(1500), 110):
+            own[at] = f"x{k}_{at}"
+        texts.append((k, " ".join(own)))
+    ruled, asked = [], ngramjoin._few_odd
+    monkeypatch.setattr(ngramjoin, "_few_odd", lambda pairs, *rest: (
+        ruled.append(pairs.count()), asked(pairs, *rest))[1])
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = ngramjoin.join_documents(df, seldom=4).collect()
+    assert sorted(r["component_id"] for r in got) == list(range(30))
+    assert len(ruled) == 1  # only the pairs with heads come that far
+
+
 @pytest.fixture(scope="module")
 def vectors():
     rng = np.random.default_rng(4)
