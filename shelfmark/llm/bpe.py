@@ -25,6 +25,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from . import memos
+
 #: Split pattern of the byte-level vocabularies (a fixed value of the public rank files).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -307,10 +309,12 @@ class _Memo(dict):
 
 
 _codecs: dict[tuple[int, str, int], Codec] = {}
+memos.keep("bpe", _codecs.clear)
 
 
 def codec_of(ranks: bytes, pattern: str = PATTERN, scanned: int = 0) -> Codec:
     """One codec per worker process and vocabulary."""
+    memos.claim("bpe")
     key = (hash(ranks), pattern, scanned)
     if key not in _codecs:
         _codecs.clear()

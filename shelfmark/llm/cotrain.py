@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from . import memos
 from .linear import Rows, bounded_sample, fit_logistic, fit_scale, sigmoid
 
 LABELED = 12_000     # labelled rows, a quarter of them for calibration
@@ -158,6 +159,7 @@ def co_train(content, record, label, spare_content, spare_record) -> Model:
 
 def _features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """Both views of rows (text, lang, source, n_chars)."""
+    memos.claim("quality")
     texts, *rest = (c.to_pylist() for c in batch.columns[:4])
     content = np.array([content_features(t) for t in texts]).reshape(-1, 11)
     record = np.array([record_features(*r) for r in zip(texts, *rest, strict=True)]).reshape(-1, 7)

@@ -58,6 +58,7 @@ _BLOCK = 512
 _TASK_BYTES = 16 << 20
 _PARITY = ["p0", "p1", "p2", "p3"]  # 64 buckets each
 _COMBINED = 1 << 32  # keeps numbers of combinations apart from those of pairs
+_ROWS = 1_000  # rows whose texts a task holds as Python strings at a time
 _LEAST = 4  # smaller sets link with equal ones only, from 80 percent on
 
 
@@ -65,13 +66,20 @@ def _known_below(known: float) -> np.uint64:
     return np.uint64(int(known * 2 ** 64) - 1)
 
 
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All rows, in batches of ``_ROWS`` at most."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(start, _ROWS)
+
+
 # -- counts ----------------------------------------------------------------------------------------
 
 def _counted(texts: DataFrame, width: int, known: float) -> DataFrame:
     """Shingle numbers in the known range that occur in more than one row: token, n."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         below = _known_below(known)
-        for batch in batches:
+        for batch in _small(batches):
             found = []
             for tokens in shingle_lists(batch.column(0).to_pylist(), width):
                 found.append(np.unique(tokens[tokens < below]))
@@ -198,7 +206,7 @@ def _prepared(docs: DataFrame, width: int, percent: int, known: float, frequent,
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _Index(*shipped.value, percent, known)
-        for batch in batches:
+        for batch in _small(batches):
             sizes, nodes, sigs, places, parity, sketches = [], [], [], [], [], []
             for tokens in shingle_sets(batch.column(1).to_pylist(), width):
                 sizes.append(len(tokens))

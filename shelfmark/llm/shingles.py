@@ -13,7 +13,9 @@ from itertools import chain
 import numpy as np
 import xxhash
 
-_CACHED = 500_000
+from . import memos
+
+_CACHED = 1 << 17
 _TOGETHER = 1 << 15  # words
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -27,6 +29,7 @@ class _WordHash(dict):
 
 
 _hashes = _WordHash()
+memos.keep("shingles", _hashes.clear)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -46,6 +49,7 @@ def _combined(values: np.ndarray, take: int) -> np.ndarray:
 def shingle_lists(texts: Iterable[str | None], width: int) -> Iterator[np.ndarray]:
     """Every text's shingle numbers in the order of the words, repeats included. Texts are worked on
     together up to ``_TOGETHER`` words, which spares short texts most of the cost of small arrays."""
+    memos.claim("shingles")
     held, size = [], 0
     for text in texts:
         held.append((text or "").encode().lower().split())

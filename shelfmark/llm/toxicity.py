@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from . import memos
 from .linear import Rows, bounded_sample, fit_logistic, fit_scale, sigmoid
 
 SAMPLE = 20_000        # labelled rows that voters, label model and classifier are fitted on
@@ -56,6 +57,7 @@ class _Terms(dict):
 
     def __init__(self, chosen: dict[int, int] | None = None):
         super().__init__()
+        memos.claim("toxicity")
         self.chosen = chosen
 
     def __missing__(self, raw: str) -> tuple[int, ...]:

@@ -5,10 +5,11 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.llm import (blocks, bpe, cotrain, mixing, nearvec, ngramjoin, postings, shards,
+from shelfmark.llm import (blocks, bpe, cotrain, mixing, nearvec, ngramjoin, postings, shards, shingles,
                            tokencount, toxicity)
 from shelfmark.llm.components import components
 from shelfmark.llm.queries import vocabulary
@@ -296,6 +297,22 @@ def test_sketches_rule_large_sets_out_within_the_join(spark, monkeypatch):
     assert len(ruled) == 1  # only the pairs with heads come that far
 
 
+def test_small_batches_hold_all_rows():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2_500))], ["k"])
+    parts = list(ngramjoin._small(iter([batch, batch.slice(0, 0), batch.slice(0, 3)])))
+    assert [p.num_rows for p in parts] == [1_000, 1_000, 500, 3]
+    assert pa.Table.from_batches(parts)["k"].to_pylist() == [*range(2_500), 0, 1, 2]
+
+
+def test_memos_are_kept_for_one_operator(spark):
+    shingles.shingle_set("some words of a text here", 4)
+    assert len(shingles._hashes)
+    codec = bpe.codec_of(bpe.read_ranks(vocabulary()))
+    assert not shingles._hashes and bpe.codec_of(bpe.read_ranks(vocabulary())) is codec
+    shingles.shingle_set("some words of a text here", 4)
+    assert not bpe._codecs and len(shingles._hashes)
+
+
 @pytest.fixture(scope="module")
 def vectors():
     rng = np.random.default_rng(4)
