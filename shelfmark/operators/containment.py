@@ -1,25 +1,102 @@
 """Which keywords a text contains, for keyword tables of any size, without a nested loop.
 
-Every keyword is indexed under one of its q-grams: the one that the fewest texts hold. A text meets
-the index through its own distinct q-grams, an equality join, and only the candidates so found are
-looked for in the text. Keywords shorter than ``GRAM`` are grams themselves, so texts are also cut
-to the lengths of the short keywords that there are. The texts' side of the join is balanced for
-grams that a large share of the texts hold (``skew.lookup``).
+Every keyword is indexed under its head: the whole keyword if it has fewer than ``WHOLE`` characters,
+else its beginning of the largest power of two that fits, so that heads have few lengths. Texts are
+cut once into windows of these lengths. A map of fixed size, which may say yes wrongly but never no,
+tells which windows may be heads; only these become rows, one per text and head, and meet the index by
+equality. Behind a long head they bring what may follow it, so a text is neither shuffled nor searched.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
-from .skew import lookup
 from ..scratch import settle
 
-GRAM = 4
+WHOLE = 16
+_CHARS = 1 << 16        # characters whose windows are looked up at a time
+_MAP_BITS = 24          # the map has at most so many numbers, 2 MB
+_BASE = 0x9E3779B1
+
+
+def _head_length(length: int) -> int:
+    return length if length < WHOLE else 1 << (length.bit_length() - 1)
+
+
+def _windows(text: str, lengths: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """Every length with the 32-bit numbers of all windows of that length, in their order."""
+    codes = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    power = lambda n: np.uint32(pow(_BASE, n, 1 << 32))
+    doubled = {1: codes * np.uint32(0x85EBCA6B)}
+    for n in lengths:
+        number, done = None, 0
+        for step in (1 << k for k in range(n.bit_length())):
+            if step not in doubled:
+                half = doubled[step // 2]
+                doubled[step] = half[:max(0, len(codes) - step + 1)] * power(step // 2) + half[step // 2:]
+            if n & step:
+                own = doubled[step][done:]
+                number = own if number is None else number[:len(own)] * power(step) + own
+                done += step
+        yield n, number * np.uint32(0xC2B2AE35)
+
+
+def _headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = batch.column(0).to_pylist()
+        heads = [word[:_head_length(len(word))] for word in words]
+        numbers = [int(next(_windows(head, [len(head)]))[1][0]) for head in heads]
+        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(heads, pa.string()),
+                                          pa.array(numbers, pa.int64())], ["_word", "_head", "_number"])
+
+
+def _found(texts: list[str], lengths: list[int], marked: np.ndarray, shift: np.uint32) -> dict:
+    """By text (its number) and window that the map tells to be a head: what follows in the text, as
+    far as a keyword of that head can reach."""
+    whole, ends = "".join(texts), np.cumsum([len(text) for text in texts])
+    found: dict[tuple[int, str], set[str]] = {}
+    for start in range(0, len(whole), _CHARS):
+        for n, numbers in _windows(whole[start:start + _CHARS + max(lengths, default=1) - 1], lengths):
+            at = np.flatnonzero(marked[numbers[:_CHARS] >> shift]) + start
+            of = np.searchsorted(ends, at, "right")
+            inside = at + n <= ends[of]
+            at, of = at[inside].tolist(), of[inside]
+            if n < WHOLE:
+                found.update(dict.fromkeys(zip(of.tolist(), [whole[i:i + n] for i in at], strict=True), ()))
+            else:
+                stops = np.minimum(ends[of], np.array(at, np.int64) + 2 * n - 1).tolist()
+                for i, own, stop in zip(at, of.tolist(), stops, strict=True):
+                    found.setdefault((own, whole[i:i + n]), set()).add(whole[i + n:stop])
+    return found
+
 
+def _cut(texts: DataFrame, lengths: list[int], marked: np.ndarray, bits: int) -> DataFrame:
+    """_id, _head, _rests (null for heads that are whole keywords) of (_id, _text)."""
+    shipped = texts.sparkSession.sparkContext.broadcast(marked)
 
-def _grams(value: Column, length: int) -> Column:
-    """Distinct substrings of a length, found in one pass over the text."""
-    return F.array_distinct(F.regexp_extract_all(value, F.lit(rf"(?s)(?=(.{{{length}}}))"), F.lit(1)))
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heads = np.unpackbits(shipped.value.view(np.uint8), bitorder="little").view(bool)
+        shift = np.uint32(32 - bits)
+        for batch in batches:
+            held, size = [], 0
+            for row, text in enumerate(batch.column(1).to_pylist(), 1):
+                held.append(text or "")
+                size += len(held[-1])
+                if size < _CHARS and row < batch.num_rows:
+                    continue
+                found = _found(held, lengths, heads, shift)
+                own = pa.array([row - len(held) + k for k, _ in found], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(own), pa.array([head for _, head in found], pa.string()),
+                     pa.array([list(rests) or None for rests in found.values()], pa.list_(pa.string()))],
+                    ["_id", "_head", "_rests"])
+                held, size = [], 0
+    kind = texts.schema["_id"].dataType.simpleString()
+    return texts.mapInArrow(cut, f"_id {kind}, _head string, _rests array<string>")
 
 
 def contains_any_of(texts: DataFrame, id_column: str, text: str, keywords: DataFrame,
@@ -29,28 +106,23 @@ def contains_any_of(texts: DataFrame, id_column: str, text: str, keywords: DataF
     ``texts`` is unique on its id. Both sides are compared as they are; fold their case first if it
     does not count. Null or empty keywords and null texts match nothing.
     """
-    words = keywords.select(F.col(keyword).alias("_word")).where(F.col("_word") != "").distinct()
-    # At most GRAM - 1 lengths.
-    short = [n for (n,) in words.select(F.length("_word").alias("n")).where(F.col("n") < GRAM)
-             .distinct().orderBy("n").collect()]
-    of_word = settle(words.select("_word", F.explode(F.when(F.length("_word") < GRAM, F.array("_word"))
-                                                    .otherwise(_grams(F.col("_word"), GRAM))).alias("_gram")))
-    held = texts.select(F.col(id_column).alias("_id"), F.explode(F.concat(
-        *[_grams(F.col(text), n) for n in [*short, GRAM]])).alias("_gram"))
-    # Written once: cutting whole texts into grams is the dear part, and what is left of it is narrow.
-    known = settle(held.join(of_word.select("_gram").distinct(), "_gram", "left_semi"))
-    counts = known.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
-    # A keyword with a gram that no text holds is in no text: the inner join drops that gram, so the
-    # number of grams met must be the keyword's own.
-    total = of_word.groupBy("_word").agg(F.count(F.lit(1)).alias("_all"))
-    best = (of_word.join(counts, "_gram").groupBy("_word").agg(
-        F.min_by("_gram", F.struct("_n", "_gram")).alias("_gram"), F.count(F.lit(1)).alias("_met"))
-        .join(total, "_word").where("_met = _all"))
-    index = best.groupBy("_gram").agg(F.collect_list("_word").alias("_words"))
-    pairs = (lookup(known, index, ["_gram"]).where(F.col("_words").isNotNull())
-             .select("_id", F.explode("_words").alias("_word")))
-    whole = texts.select(F.col(id_column).alias("_id"), F.col(text).alias("_text"))
-    return (pairs.join(whole, "_id").where(F.col("_text").contains(F.col("_word")))
+    words = settle(keywords.select(F.col(keyword).alias("_word")).where(F.col("_word") != "").distinct()
+                   .mapInArrow(_headed, "_word string, _head string, _number long"))
+    # One row per length of heads: fewer than WHOLE and one per power of two.
+    lengths = dict(words.groupBy(F.length("_head")).count().collect())
+    bits = min(_MAP_BITS, max(10, sum(lengths.values()).bit_length() + 5))
+    place = F.shiftright("_number", 32 - bits)
+    marks = (words.select(F.shiftright(place, 6).alias("at"), place.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+             .groupBy("at").agg(F.expr("bit_or(shiftleft(bigint(1), bit))").alias("held")).toArrow())
+    marked = np.zeros(1 << (bits - 6), "<i8")  # 64 numbers each, so at most 2^18 rows came
+    marked[marks["at"].to_numpy()] = marks["held"].to_numpy()
+    known = _cut(texts.select(F.col(id_column).alias("_id"), F.col(text).alias("_text")),
+                 sorted(lengths), marked, bits)
+    # The index is a plain table, so that Spark broadcasts a small one and splits the rows of a head that
+    # a large share of the texts hold when it is not.
+    within = F.col("_rests").isNull() | F.exists(
+        "_rests", lambda rest: F.concat("_head", rest).startswith(F.col("_word")))
+    return (known.join(words.select("_head", "_word"), "_head").where(within)
             .select(F.col("_id").alias(id_column), F.col("_word").alias(keyword)))
 
 

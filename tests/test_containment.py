@@ -54,3 +54,25 @@ def test_labels_from_a_table(spark):
     got = containment.table_labels(texts, "id", "t", taxonomy)
     assert rows(got, "id", "niche", "sub_niche") == [
         (1, "pets", "kittens"), (2, "dogs", "hounds"), (3, None, None), (4, None, None)]
+
+
+def test_heads_of_all_lengths_equal_plain_loops(spark):
+    draw = random.Random(2)
+    texts = ["".join(draw.choice("abé🔑") for _ in range(draw.choice([0, 15, 16, 31, 33, 200]))) for _ in range(60)]
+    piece = containment._CHARS  # keywords across the pieces of a long text
+    texts += ["".join(draw.choice("cdé") for _ in range(2 * piece + 70))]
+    words = {texts[-1][at - n // 2:][:n] for at in (piece, 2 * piece) for n in (9, 15, 16, 40, 64, 127)}
+    words |= {t[i:i + n] for t in texts[:20] for n in (1, 2, 5, 15, 16, 17, 31, 32, 33, 63, 64, 90)
+             for i in (0, 7, len(t) - n) if 0 <= i <= len(t) - n}
+    words |= {w[:-1] + "x" for w in words} | {a[-9:] + b[:9] for a, b in zip(texts, texts[1:])} - {""}
+    left, right = frames(spark, texts, words)
+    want = sorted(((i, w) for i, t in enumerate(texts) for w in words if w in t), key=str)
+    assert rows(containment.contains_any_of(left, "id", "t", right), "id", "keyword") == want
+
+
+def test_texts_are_neither_shuffled_nor_searched(spark):
+    left, right = frames(spark, ["a long text with a keyword"], ["keyword", "long", "with"])
+    found = containment.contains_any_of(left, "id", "t", right)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains(" not in plan and "regexp" not in plan and plan.count("Join") == 1
+    assert found.count() == 3
