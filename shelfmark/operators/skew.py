@@ -3,10 +3,13 @@
 A key is *hot* when it holds more than ``1 / HOT_SHARE`` of the rows. By counting, no table has more
 than ``HOT_SHARE`` hot keys. A hot key is cut into salts in proportion to its share of the rows, its
 lookup row is repeated once per salt, and one join on (key, salt) does the rest; rows with a null
-key match nothing and are spread as well. All that is broadcast is the hash of each hot key and its
-number of salts, 12 bytes for at most ``HOT_SHARE`` keys: neither keys nor payload. The repeated rows
-are at most ``SPLITS`` per shuffle partition and one per hot key. Adaptive skew splitting cannot do this
-for us when the lookup side is itself an aggregate, because it only splits plain shuffle stages.
+key match nothing and are spread as well. Rows are counted by a hash of 20 bits, so that a task counts
+2^20 groups at most, however many keys it meets; keys that share a hot one's hash are salted like it.
+All that is broadcast is the hash of each hot key and its number of salts, 12 bytes for at most
+``HOT_SHARE`` keys: neither keys nor payload. The repeated rows are at most ``SPLITS`` per shuffle partition
+and one per hot key, for each key of its hash (one in 2^20 of the lookup table's). Adaptive skew
+splitting cannot do this for us when the lookup side is itself an aggregate, because it only splits plain
+shuffle stages.
 """
 
 from __future__ import annotations
@@ -18,11 +21,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_SHARE = 10_000
 SPLITS = 4          # salts of a key that holds as many rows as an even shuffle partition
+HASH_BITS = 20
 
 
 def _hash(keys: Sequence[str], kinds: dict[str, str]) -> Column:
     """Hash of the keys as values of ``kinds``; two keys of equal hash are salted alike, no more."""
-    return F.xxhash64(*[F.col(k).cast(kinds[k]) for k in keys])
+    return F.shiftright(F.xxhash64(*[F.col(k).cast(kinds[k]) for k in keys]), 64 - HASH_BITS)
 
 
 def hot_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame:

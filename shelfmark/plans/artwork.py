@@ -18,17 +18,22 @@ MAX_MOCKUPS = 1000
 def arts_of_ids(files: DataFrame, ids: DataFrame) -> DataFrame:
     """Art files (path) of the listings asked for: ``{id}`` or ``{id}_...`` as file stem.
 
-    Every beginning of a stem that ends before an underscore is looked up, so the match is an
-    equality join whatever the ids look like.
+    Every beginning of a stem that ends before an underscore and has as many underscores as some id
+    is looked up, so the match is an equality join whatever the ids look like.
     """
-    parts = F.split(urls.stem(F.col("path")), "_")
-    begins = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(
-        F.slice(parts, F.lit(1), n), "_"))
-    candidates = files.select("path", F.explode(begins).alias("listing_id"))
-    return members(candidates, ids, ["listing_id"]).groupBy("path").agg(
+    return members(id_candidates(files, ids), ids, ["listing_id"]).groupBy("path").agg(
         F.min("listing_id").alias("listing_id"))
 
 
+def id_candidates(files: DataFrame, ids: DataFrame) -> DataFrame:
+    """path, listing_id: what could be an id in front of a file's stem."""
+    sizes = ids.select(F.collect_set(F.size(F.split("listing_id", "_")))).scalar()  # as an id's length at most
+    parts = F.split(urls.stem(F.col("path")), "_")
+    stems = files.select("path", parts.alias("_parts"), F.explode(
+        F.array_intersect(F.sequence(F.lit(1), F.size(parts)), sizes)).alias("_size"))
+    return stems.select("path", F.array_join(F.slice("_parts", F.lit(1), F.col("_size")), "_").alias("listing_id"))
+
+
 def crop_coordinates(raw: DataFrame) -> DataFrame:
     """Typed coordinates: bad or absent numbers get their default, empty crops are dropped."""
     def number(name: str, default: int) -> Column:

@@ -51,6 +51,17 @@ def test_lookup_refuses_clashing_columns(spark):
         skew.lookup(left, left, ["k"])
 
 
+def test_hot_keys_are_counted_in_groups_of_fixed_number(spark):
+    """Millions of keys give a task no more groups than there are hashes; cold keys are not hot ones."""
+    keys = spark.range(1 << 22).select(F.col("id").alias("k"))
+    hashes = keys.select(skew._hash(["k"], {"k": "bigint"}).alias("h")).distinct()
+    assert hashes.count() <= 1 << skew.HASH_BITS
+    hot = keys.unionAll(spark.range(1 << 18).select(F.lit(-5).cast("bigint").alias("k")))
+    (found,) = skew.hot_hashes(hot, ["k"]).collect()
+    of_hot = spark.range(1).select(F.lit(-5).cast("bigint").alias("k")).select(skew._hash(["k"], {"k": "bigint"}))
+    assert found["_hash"] == of_hot.first()[0]
+
+
 def test_members(spark):
     left = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
     ids = spark.createDataFrame([("a",), ("a",), (None,)], "k string")

@@ -221,3 +221,14 @@ def test_undecided_rows_come_again(spark):
     todo = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
     done = spark.createDataFrame([("a", True), ("b", None)], "id string, gone boolean")
     assert rows(incremental.retry_undecided(todo, done, "id", "gone"), "id") == [("b",), ("c",)]
+
+
+def test_only_beginnings_as_long_as_some_id_are_looked_up(spark):
+    files = spark.createDataFrame([(p,) for p in (
+        "a/1_2_art.png", "a/1_2_3_4_5.png", "1.png", "_x.png", "b/9_9.png", "b/1_2")], "path string")
+    ids = spark.createDataFrame([("1",), ("1_2_3",), ("",), (None,)], "listing_id string")
+    found = artwork.id_candidates(files, ids)
+    assert found.count() == 6 + 2  # one part of every stem, three of those that have them
+    assert rows(artwork.arts_of_ids(files, ids), "path", "listing_id") == sorted([
+        ("1.png", "1"), ("_x.png", ""), ("a/1_2_3_4_5.png", "1"), ("a/1_2_art.png", "1"), ("b/1_2", "1")])
+    assert artwork.arts_of_ids(files, ids.where("false")).count() == 0
