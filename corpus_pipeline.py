@@ -23,6 +23,11 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The documents with a number _row that stays with each, so that narrow rows can stand for them."""
+    return settle(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier finds good."""
     model = cotrain.fit(docs, _labels(spark, sf_dir))
@@ -38,19 +43,25 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies: the one of least id, null ids last, and of rows that
     repeat this id the one of least text digest. All rows of empty texts stay: they are like none."""
-    rows = settle(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()))
+    rows = _numbered(docs)
     parts = ngramjoin.join_documents(rows.select(F.col("_row").alias("doc_id"), "text"), 5, 80)
-    first = F.struct(F.col("doc_id").isNull(), "doc_id", F.sha2("text", 256), "_row")
-    kept = (rows.join(parts.select(F.col("doc_id").alias("_row"), "component_id"), "_row")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "_digest", "_row")
+    # Digests are taken before the join, which else would shuffle the texts.
+    narrow = rows.select("_row", "doc_id", F.sha2("text", 256).alias("_digest"))
+    kept = (narrow.join(parts.select(F.col("doc_id").alias("_row"), "component_id"), "_row")
             .groupBy("component_id").agg(F.min(first)["_row"].alias("_row")).select("_row"))
     return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of sources: a document is there as often as it is taken."""
-    identity = [F.col("doc_id"), F.crc32(F.coalesce("text", F.lit("")).cast("binary"))]
-    mixed = mixing.mix(docs.select(*COLUMNS), mixing.word_count(), mixing.plain_share(), identity)
-    return mixing.repeat(mixed).select(*COLUMNS)
+    rows = _numbered(docs)
+    narrow = rows.select("_row", "doc_id", "source", mixing.word_count().alias("_words"),
+                         mixing.plain_share().alias("_plain"),
+                         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("_crc"))
+    mixed = mixing.mix(narrow, F.col("_words"), F.col("_plain"), [F.col("doc_id"), F.col("_crc")])
+    taken = mixed.where(F.col("times") > 0).select("_row", "times")
+    return mixing.repeat(rows.join(taken, "_row")).select(*COLUMNS)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -351,6 +351,20 @@ def _can_reach(percent: int):
     return most * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
 
 
+def _live(rows: DataFrame) -> DataFrame:
+    """sig, place, node, n of the signatures that several sets have, without repeats.
+
+    Postings are shuffled once: minima and maxima of whole rows need the same columns as the join, so
+    that both read one exchange.
+    """
+    posted = rows.select("node", "n", F.inline(F.arrays_zip("sigs", "places"))).toDF(
+        "node", "n", "sig", "place").repartition("sig")
+    whole = F.struct("node", "n", "place")
+    shared = posted.groupBy("sig").agg(F.min(whole).alias("first"), F.max(whole).alias("last")).where(
+        "first.node < last.node").select("sig")
+    return posted.join(shared, "sig").select("sig", "place", "node", "n").distinct()
+
+
 def join_documents(docs: DataFrame, width: int = 4, percent: int = 85, known: float = KNOWN,
                    seldom: int = SELDOM) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text; the rest is
@@ -371,11 +385,7 @@ def join_documents(docs: DataFrame, width: int = 4, percent: int = 85, known: fl
         F.min("doc_id").alias("least_id"), F.min("text_no").alias("owner"), F.min("sketch").alias("sketch"),
         *(F.min(p).alias(p) for p in _PARITY)))
     owners = nodes.select("node", "owner")
-    posted = rows.select("node", "n", F.inline(F.arrays_zip("sigs", "places"))).toDF(
-        "node", "n", "sig", "place")
-    shared = posted.groupBy("sig").agg(F.min("node").alias("first"), F.max("node").alias("last")).where(
-        "first < last").select("sig")
-    live = settle(posted.join(shared, "sig").select("sig", "place", "node", "n").distinct())
+    live = settle(_live(rows))
     # The head is the member that has most signatures in common with any other set: the original
     # among its copies, which differ less from it than from each other.
     weights = live.groupBy("node").agg(F.count(F.lit(1)).alias("weight"))

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import corpus_pipeline as pipeline
+from shelfmark.llm import ngramjoin
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -66,3 +67,30 @@ def test_mix_and_encoding_take_rows_of_repeated_and_null_ids(spark):
     mixed = Counter((r["doc_id"], r["text"]) for r in pipeline.mixture(spark, docs, "").collect())
     assert set(mixed) <= set(rows)
     assert all(n <= 2 * Counter(rows)[k] for k, n in mixed.items())
+
+
+def test_texts_are_shuffled_once_a_stage_and_postings_once(spark, monkeypatch):
+    docs = table(spark, [(k, f"word {k} and so on and so on") for k in range(9)])
+    given = []
+    mix = pipeline.mixing.mix
+    monkeypatch.setattr(pipeline.mixing, "mix", lambda df, *a, **k: given.append(df.columns) or mix(df, *a, **k))
+    assert set(pipeline.mixture(spark, docs, "").columns) == set(pipeline.COLUMNS)
+    assert given and "text" not in given[0]
+    plan = pipeline.distinct(spark, docs, "")._jdf.queryExecution().optimizedPlan().toString()
+    assert "sha2" in plan and not any("Aggregate" in line and "sha2" in line for line in plan.splitlines())
+
+    rows = spark.createDataFrame([(k, 5, [1, k % 3 + 2], [0, -1]) for k in range(9)],
+                                 "node long, n long, sigs array<long>, places array<int>")
+    live = ngramjoin._live(rows.unionAll(rows))
+    assert sorted(tuple(r) for r in live.collect()) == sorted(
+        (s, p, k, 5) for k in range(9) for s, p in ((1, 0), (k % 3 + 2, -1)))
+    assert ngramjoin._live(rows.where("node = 0").unionAll(rows.where("node = 0"))).count() == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        live = ngramjoin._live(rows)
+        live.collect()
+        done = live._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        exchanges = [line for line in done.splitlines() if "Exchange" in line]
+        assert len([line for line in exchanges if "ReusedExchange" not in line]) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
