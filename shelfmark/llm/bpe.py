@@ -33,6 +33,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 _NONE = 1 << 40  # above every rank
 _CACHED = 250_000  # entries of a memo's younger half
 _LONGEST_CACHED = 64
+_ABOVE = (1 << 31) - 1  # above every rank, in tables
 _LONGEST_TABLED = 64  # bytes of a match that ``Together`` merges in a table
 
 # A blank joined to further white space: there, cutting at blanks alone would change matches.
@@ -163,11 +164,14 @@ class Together:
         self.codec = codec
         self.met: dict[str, bytes] = {}  # ids of a word with a blank in front
         ranks = codec.ranks
-        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         made = sorted((ranks[token[:k]] << 32 | ranks[token[k:]], rank)
                       for token, rank in ranks.items() for k in range(1, len(token))
                       if token[:k] in ranks and token[k:] in ranks)
-        self.pairs, self.made = np.array([*made, (1 << 62, _NONE)], np.int64).T.copy()
+        self.pairs, made = np.array([*made, (1 << 62, _ABOVE)], np.int64).T.copy()
+        self.made = made.astype(np.int32)
+        # Ranks of all pairs of bytes: most pairs that are looked up are such.
+        self.byte_pairs = self._made(np.repeat(self.byte_ids, 256), np.tile(self.byte_ids, 256))
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one text after the other, and every text's number of ids."""
@@ -213,11 +217,12 @@ class Together:
     def _cut(self, words: list[str]) -> tuple[list[str], list[str], np.ndarray]:
         """Words, all matches in them with a blank before each word, and the number of these."""
         split = self.codec.split
-        plain = [word for word in words if word and word == word.strip()]
         edged = [word for word in words if not word or word != word.strip()]
+        apart = set(edged)
+        plain = [word for word in words if word not in apart] if edged else words
         # Joined by blanks the plain ones have no runs of white space, so the search cuts at every blank.
         matches = split(" " + " ".join(plain)) if plain else []
-        first = np.flatnonzero(np.fromiter((m[0] == " " for m in matches), bool, len(matches)))
+        first = np.flatnonzero(np.array([m[0] == " " for m in matches], bool))
         more = [split(" " + word) for word in edged]
         n = np.concatenate([np.diff(np.append(first, len(matches))),
                             np.fromiter(map(len, more), np.int64, len(more))])
@@ -227,8 +232,8 @@ class Together:
         """Ids of matches, one after the other, and their numbers. Matches of as many tokens form a
         table: each of its rows makes one merge a step, or is done and leaves."""
         rank = self.codec.ranks.get
-        whole = np.fromiter((rank(match, -1) for match in matches), np.int64, len(matches))
-        size = np.fromiter(map(len, matches), np.int64, len(matches))
+        whole = np.array([rank(match, -1) for match in matches], np.int64)
+        size = np.array([*map(len, matches)], np.int64)
         done = [(np.flatnonzero(whole >= 0), whole[whole >= 0, None])]
         for k in np.flatnonzero((whole < 0) & (size > _LONGEST_TABLED)):
             done.append((np.array([k]), np.array([self.codec.merge(matches[k])], np.int64)))
@@ -239,7 +244,8 @@ class Together:
             if len(own):
                 byte = np.frombuffer(b"".join([matches[k] for k in own]), np.uint8)
                 new = self.byte_ids[byte].reshape(-1, n)
-                paired = self._made(new[:, :-1], new[:, 1:])
+                byte = byte.reshape(-1, n)
+                paired = self.byte_pairs[byte[:, :-1].astype(np.intp) << 8 | byte[:, 1:]]
                 ids = np.concatenate([ids, new]) if len(rows) else new
                 ranks = np.concatenate([ranks, paired]) if len(rows) else paired
                 rows = np.concatenate([rows, own])
@@ -247,7 +253,7 @@ class Together:
                 continue
             at = ranks.argmin(axis=1)  # the leftmost of least rank
             best = ranks[np.arange(len(rows)), at]
-            going = best < _NONE
+            going = best < _ABOVE
             done.append((rows[~going], ids[~going]))
             rows, ids, ranks, at, best = rows[going], ids[going], ranks[going], at[going], best[going]
             row = np.arange(len(rows))
@@ -272,9 +278,9 @@ class Together:
 
     def _made(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the token that two tokens (ids) make, above all ranks if none."""
-        wanted = left << 32 | right
+        wanted = left.astype(np.int64) << 32 | right
         at = np.searchsorted(self.pairs, wanted)
-        return np.where(self.pairs[at] == wanted, self.made[at], _NONE)
+        return np.where(self.pairs[at] == wanted, self.made[at], np.int32(_ABOVE))
 
 
 def _places(start: np.ndarray, n: np.ndarray) -> np.ndarray:

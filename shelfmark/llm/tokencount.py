@@ -23,6 +23,11 @@ _CHARS = 1 << 20
 _TYPE = pa.list_(pa.struct([(n, pa.int32()) for n in ("section", "start", "end", "n_tokens")]))
 
 
+def _passed(marks: np.ndarray, size: int) -> np.ndarray:
+    """How many of the marks are at or before each place from 0 to size."""
+    return np.cumsum(np.bincount(np.minimum(marks, size + 1), minlength=size + 2))
+
+
 def attribute(lengths: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Section of every token, -1 for none; sections are sorted, do not overlap and may be empty."""
     stop = np.cumsum(lengths)
@@ -32,9 +37,11 @@ def attribute(lengths: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     if not len(filled) or not len(lengths):
         return found
     a, b = starts[filled], ends[filled]
-    first, last = np.searchsorted(b, start, "right"), np.searchsorted(a, stop, "left") - 1
+    first, last = _passed(b, stop[-1])[start], _passed(a + 1, stop[-1])[stop] - 1
+    one = first == last  # such a token has bytes in this section only
+    found[one] = filled[first[one]]
     most = np.zeros(len(lengths), dtype=np.int64)
-    token = np.flatnonzero(first <= last)
+    token = np.flatnonzero(first < last)
     while len(token):
         at = first[token]
         shared = np.minimum(stop[token], b[at]) - np.maximum(start[token], a[at])

@@ -401,3 +401,27 @@ def test_empty_tables(spark, empty):
     assert shards.shard_by_bytes(empty, shards.byte_size(), [F.col("doc_id")]).count() == 0
     assert mixing.mix(empty, mixing.word_count(), mixing.plain_share(), [F.col("doc_id")]).count() == 0
     assert tokencount.section_counts(empty, vocabulary()).count() == 0
+
+
+def test_token_sections_and_byte_pairs_are_read_from_tables(monkeypatch):
+    """Neither tokens nor pairs of bytes are searched for one by one."""
+    codec = bpe.Codec(bpe.read_ranks(vocabulary()))
+    together, rng, searched = codec.together, np.random.default_rng(4), []
+    texts = ["".join(rng.choice(list("abz é\n")) for _ in range(n)) for n in (0, 1, 50, 900)]
+    assert (together.byte_pairs[:: 257] == together._made(together.byte_ids, together.byte_ids)).all()
+    made = together._made
+    monkeypatch.setattr(together, "_made", lambda a, b: searched.append(np.size(a)) or made(a, b))
+    ids, n = together(texts)
+    assert ids.tolist() == [i for t in texts for i in np.frombuffer(codec.encode(t), "<u4").tolist()]
+    merges = sum(len(t.encode()) for t in texts) - len(ids)
+    assert sum(searched) <= 2 * merges  # two pairs beside each merged one, none before
+    lengths = rng.integers(1, 6, 400)
+    cuts = np.unique(rng.integers(0, lengths.sum() + 1, 90))
+    starts, ends = cuts[:-1:2], cuts[1::2][:len(cuts[:-1:2])]
+    monkeypatch.setattr(np, "searchsorted", None)
+    got = tokencount.attribute(lengths, starts, ends)
+    stop = np.cumsum(lengths)
+    for k, (a, b) in enumerate(zip(stop - lengths, stop)):
+        shared = [min(b, e) - max(a, s) for s, e in zip(starts, ends)]
+        best = int(np.argmax(shared))
+        assert got[k] == (best if shared[best] > 0 else -1)
