@@ -50,7 +50,8 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     narrow = rows.select("_row", "doc_id", F.sha2("text", 256).alias("_digest"))
     kept = (narrow.join(parts.select(F.col("doc_id").alias("_row"), "component_id"), "_row")
             .groupBy("component_id").agg(F.min(first)["_row"].alias("_row")).select("_row"))
-    return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
+    # The same join at every size: a broadcast would do for few documents only.
+    return rows.join(kept.hint("merge"), "_row", "left_semi").select(*COLUMNS)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +62,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                          F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("_crc"))
     mixed = mixing.mix(narrow, F.col("_words"), F.col("_plain"), [F.col("doc_id"), F.col("_crc")])
     taken = mixed.where(F.col("times") > 0).select("_row", "times")
-    return mixing.repeat(rows.join(taken, "_row")).select(*COLUMNS)
+    return mixing.repeat(rows.join(taken.hint("merge"), "_row")).select(*COLUMNS)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
