@@ -275,6 +275,28 @@ def test_job_detail_rules(spark):
         "T", "mức lương 10", "Hạn nộp: later", "Mon; Tue", "https://j/cong-ty/x", None, None)
 
 
+def test_parts_of_a_job_page_stay_in_its_row(spark):
+    """No rows are made of the parts that would have to be shuffled, sorted and gathered again."""
+    pages = spark.createDataFrame([("u", "<h1>D</h1>")], "url string, html string")
+    plan = page_blocks.job_details(pages, "https://j")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Generate" not in plan
+
+
+@pytest.mark.parametrize("html, sound", [
+    ('<DIV Class="y Item"><b>1</b></DIV> 5 < 6 <p class=item>2<p class=\'item\'>3', True),
+    ('<p title="a > b" class="item">1</p><h1>T</h1><h1>U</h1><', True), ("", True), ("no tag", True),
+    ('<p title="<p class=\'item\'>" class="item">1</p><h1>T</h1>', False),
+    ('<p class="item">1</p><p class="item" x="open><h1>T</h1>', False), ('<p <b class="item">1</b><h1>T', False)])
+def test_cutting_up_once_finds_what_each_search_finds(spark, html, sound):
+    item, head = markup.opening(cls="item"), markup.either(markup.opening("h1"), markup.opening(cls="none"))
+    page = spark.createDataFrame([(1, html)], "n int, html string")
+    got = markup.cut_up(page, ["n"], {"head": head, "one": item}, {"items": item}).first()
+    want = page.select(markup.first_element(F.col("html"), head), markup.first_element(F.col("html"), item),
+                       markup.elements(F.col("html"), item)).first()
+    assert got["_sound"] is sound
+    assert (got["head"], got["one"], got["items"]) == tuple(want)
+
+
 def test_company_pages(spark):
     html = """<meta property="og:title" content="Acme | Some Site VN"><div class="company-info-container">
     <div class="row"><strong>Website</strong>: acme.example</div><div class="row">Size: 10</div>
